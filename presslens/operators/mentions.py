@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions import text as T
-from presslens.operators.sizing import bounded_values, broadcast_if_small, spread
+from presslens.operators.sizing import BROADCAST_ROWS, spread
 
 
 def article_lengths(articles: DataFrame, body: str = "body") -> DataFrame:
@@ -72,11 +72,14 @@ def spelling_hits(
     """
     if match == "tokenized":
         variants = tokenized_variants(variants)
-    sizes = bounded_values(vocabulary(variants), "pieces") or [1]
     keys = ["variant", "lang"] if by_lang else ["variant"]
-    grams = exploded_ngrams(articles, sizes, keep, body)
+    per_size = variants.groupBy(T.piece_count(F.col("variant")).alias("pieces")).count().collect()
+    sizes = [row["pieces"] for row in per_size if row["pieces"]] or [1]
+    grams = exploded_ngrams(articles, sizes, list(dict.fromkeys([*keep, *keys[1:]])), body)
     names = variants.select(*keys, "kind", "entity_id").distinct()
-    return grams.join(broadcast_if_small(names), keys)
+    if sum(row["count"] for row in per_size) <= BROADCAST_ROWS:
+        names = F.broadcast(names)
+    return grams.join(names, keys)
 
 
 def spelling_counts(articles: DataFrame, variants: DataFrame, **options) -> DataFrame:

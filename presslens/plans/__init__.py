@@ -2,5 +2,6 @@
 
 from presslens.plans import (  # noqa: F401
     counting,
+    reports,
 )
 from presslens.plans.registry import ORACLES, QUERIES  # noqa: F401
