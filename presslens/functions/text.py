@@ -66,3 +66,19 @@ def phrase_hits(text: Column, phrases: Iterable[str]) -> Column:
 
 def first_line(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
+
+
+def mentions_any(text: Column, phrases: Iterable[str]) -> Column:
+    """Whether any of the word n-grams occurs in a text.
+
+    The words are put into a one-element array and tested there, so they are made once per row however
+    many phrases there are and wherever the optimizer moves the test.
+    """
+
+    def any_of(spaced):
+        found = F.lit(False)
+        for phrase in phrases:
+            found = found | has_phrase(spaced, phrase)
+        return found
+
+    return F.exists(F.array(spaced_words(text)), any_of)

@@ -24,6 +24,8 @@ def spread(df: DataFrame) -> DataFrame:
     Word counting is bound by CPU, so one unsplittable file must not become one task. A scan that
     already has enough splits is returned as it is: on large inputs no text is ever shuffled.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

@@ -2,6 +2,11 @@
 
 from presslens.plans import (  # noqa: F401
     counting,
+    headlines,
+    places,
     reports,
+    searching,
+    shaping,
+    sourcing,
 )
 from presslens.plans.registry import ORACLES, QUERIES  # noqa: F401
