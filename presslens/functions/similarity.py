@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BINS = 64
+WORD_BITS = 64
+# Machine words of one block of choices, and of one block times one batch of queries.
+BLOCK_WORDS, BATCH_WORDS = 4096, 32768
 
 
 def normalized(text: Column) -> Column:
@@ -16,55 +16,121 @@ def normalized(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]", " "))
 
 
-def position_masks(text: str) -> dict[str, int]:
-    """For every character, an integer with a bit set at each of its positions."""
-    masks: dict[str, int] = {}
-    for i, char in enumerate(text):
-        masks[char] = masks.get(char, 0) | (1 << i)
-    return masks
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+
+
+class Block:
+    """Choices of about the same length: one bit per character, compared all at once."""
+
+    def __init__(self, choices: list[np.ndarray], at: np.ndarray):
+        self.at = at
+        self.lengths = np.array([len(choices[i]) for i in at], dtype=np.int64)
+        self.words = words_of(int(self.lengths.max()))
+        chars = np.concatenate([choices[i] for i in at])
+        column = np.repeat(np.arange(len(at)), self.lengths)
+        starts = np.cumsum(self.lengths) - self.lengths
+        place = np.arange(len(chars)) - np.repeat(starts, self.lengths)
+        self.alphabet, code = np.unique(chars, return_inverse=True)
+        # masks[code + 1, word, column]: where a choice has the character; code 0 is any other one.
+        self.masks = np.zeros((len(self.alphabet) + 1, self.words, len(at)), dtype=np.uint64)
+        bit = np.uint64(1) << (place % WORD_BITS).astype(np.uint64)
+        np.bitwise_or.at(self.masks, (code + 1, place // WORD_BITS, column), bit)
+        self.valid = np.bitwise_or.reduce(self.masks, axis=0)
+
+    def encode(self, query: np.ndarray) -> np.ndarray:
+        """The query in the block's codes, without the characters no choice has."""
+        if not len(self.alphabet) or not len(query):
+            return np.zeros(0, dtype=np.int64)
+        near = np.minimum(np.searchsorted(self.alphabet, query), len(self.alphabet) - 1)
+        return near[self.alphabet[near] == query] + 1
+
+    def common_subsequences(self, queries: list[np.ndarray]) -> np.ndarray:
+        """Length of the longest common subsequence of every query (row) with every choice (column).
+
+        A bit of `free` stays set while its character is not yet part of the subsequence; one addition
+        with carry per query character moves all choices on.
+        """
+        encoded = [self.encode(q) for q in queries]
+        sizes = np.array([len(code) for code in encoded])
+        # Longest query first, so the queries that still have characters left are always the first rows.
+        order = np.argsort(-sizes, kind="stable")
+        codes = np.zeros((int(sizes.max()), len(queries)), dtype=np.int64)
+        for row, at in enumerate(order):
+            codes[: sizes[at], row] = encoded[at]
+        running = np.searchsorted(-sizes[order], -np.arange(len(codes)), side="left")
+        state = np.full((len(queries), self.words, len(self.at)), ~np.uint64(0))
+        for step, rows in zip(codes, running):
+            free = state[:rows]
+            hit = free & self.masks[step[:rows]]
+            moved = free + hit
+            if self.words > 1:
+                carry = moved < free
+                for word in range(1, self.words):
+                    before = carry[:, word - 1]
+                    moved[:, word] += before
+                    carry[:, word] |= before & (moved[:, word] == 0)
+            np.bitwise_xor(free, hit, out=free)
+            np.bitwise_or(free, moved, out=free)
+        free = np.empty_like(state)
+        free[order] = state
+        return np.bitwise_count(~free & self.valid).sum(axis=1, dtype=np.int64)
 
 
-def common_subsequence(masks: dict[str, int], length: int, other: str) -> int:
-    """Length of the longest common subsequence, all rows of a column at once in one integer."""
-    full = (1 << length) - 1
-    free = full
-    for char in other:
-        hit = free & masks.get(char, 0)
-        free = ((free + hit) | (free - hit)) & full
-    return length - free.bit_count()
+def words_of(length: int) -> int:
+    return max(1, -(-length // WORD_BITS))
 
 
-def character_counts(texts: list[str]) -> np.ndarray:
-    """Characters per bin and text. Bins merge characters, which can only raise an overlap."""
-    table = np.zeros((len(texts), _BINS), dtype=np.int32)
-    for i, text in enumerate(texts):
-        for char, n in Counter(text).items():
-            table[i, ord(char) % _BINS] += n
-    return table
+def blocks_of(choices: list[np.ndarray]) -> list[Block]:
+    """Cut the choices, sorted by length, into blocks of bounded size and similar length."""
+    order = np.argsort([len(c) for c in choices], kind="stable")
+    blocks, start = [], 0
+    for end in range(1, len(order) + 1):
+        if end < len(order):
+            widest, least = words_of(len(choices[order[end]])), words_of(len(choices[order[start]]))
+            if widest <= 1.5 * least and (end + 1 - start) * widest <= BLOCK_WORDS:
+                continue
+        blocks.append(Block(choices, order[start:end]))
+        start = end
+    return blocks
 
 
 def best_in(queries: list[str], choices: list[str], labels: list[str]) -> list[tuple[int, float]]:
     """For every query, the index and similarity (0 to 1) of the most similar choice.
 
     The similarity is twice the common subsequence over both lengths; ties go to the smallest label.
-    Choices are tried by falling upper bound, the overlap of the characters, and the search ends at
-    the first bound below the best value, so the result is exact.
+    Blocks are tried by falling upper bound of their lengths and left out for the queries that already
+    have something better, so the result is exact.
     """
-    counts = character_counts(choices)
-    lengths = np.array([len(c) for c in choices])
-    found = []
-    for query, bag in zip(queries, character_counts(queries)):
-        both = np.maximum(lengths + len(query), 1)
-        bounds = 2.0 * np.minimum(counts, bag).sum(axis=1) / both
-        masks = position_masks(query)
-        best, best_at = -1.0, -1
-        for at in np.argsort(-bounds, kind="stable"):
-            if bounds[at] < best:
-                break
-            choice = choices[at]
-            total = max(len(query) + len(choice), 1)
-            score = 2.0 * common_subsequence(masks, len(query), choice) / total
-            if score > best or (score == best and labels[at] < labels[best_at]):
-                best, best_at = score, int(at)
-        found.append((best_at, best))
+    blocks = blocks_of([code_points(c) for c in choices])
+    asked = [code_points(q) for q in queries]
+    found: list[tuple[int, float]] = [(-1, -1.0)] * len(asked)
+    if not blocks:
+        return found
+    widest = max(b.words * len(b.at) for b in blocks)
+    size = max(1, BATCH_WORDS // widest)
+    order = np.argsort([len(q) for q in asked], kind="stable")
+    for start in range(0, len(order), size):
+        batch = order[start : start + size]
+        n = np.array([len(asked[i]) for i in batch], dtype=np.int64)[:, None]
+        bounds = [
+            (2.0 * np.minimum(b.lengths, n) / np.maximum(b.lengths + n, 1)).max(axis=1) for b in blocks
+        ]
+        for number in sorted(range(len(blocks)), key=lambda i: -float(bounds[i].max())):
+            block = blocks[number]
+            best = np.array([found[i][1] for i in batch])
+            rows = np.flatnonzero(bounds[number] >= best)
+            if not len(rows):
+                continue
+            shared = block.common_subsequences([asked[batch[r]] for r in rows])
+            scores = 2.0 * shared / np.maximum(block.lengths + n[rows], 1)
+            for row, values in zip(rows, scores):
+                top = float(values.max())
+                at, before = found[batch[row]]
+                if top < before:
+                    continue
+                same = [int(block.at[i]) for i in np.flatnonzero(values == top)]
+                if top == before:
+                    same.append(at)
+                found[batch[row]] = (min(same, key=labels.__getitem__), top)
     return found

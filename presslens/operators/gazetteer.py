@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from presslens.functions import names as N
 from presslens.operators import ranking
 from presslens.operators.daily import level_of
-from presslens.operators.sizing import broadcast_if_small
+from presslens.operators.sizing import broadcast_if_small, cut_lineage
 
 # Up to this many words of a name, its word subsets are listed to find the names it contains.
 SUBSET_WORDS = 8
@@ -190,14 +190,20 @@ def location_dictionary(matched: DataFrame) -> DataFrame:
     )
     arabic = F.array(F.col("location_name_ara"), F.col("name_ntve"))
 
-    def spelled(names, lang):
-        rows = matched.where("id IS NOT NULL").select("id", F.explode(names).alias("variant"))
-        return rows.where("variant IS NOT NULL").withColumn("lang", F.lit(lang))
+    def tagged(names, lang):
+        return F.transform(names, lambda n: F.struct(F.lit(lang).alias("lang"), n.alias("variant")))
 
-    latin = spelled(english, "eng").withColumn("variant", N.strip_articles(F.col("variant"))).distinct()
-    latin = prune_supersets(latin, "id", "variant")
-    both = latin.unionByName(spelled(arabic, "ara").distinct())
-    return both.select(F.col("id").alias("entity_id"), "lang", "variant")
+    listed = matched.where("id IS NOT NULL").select(
+        F.col("id").alias("entity_id"),
+        F.inline(F.concat(tagged(english, "eng"), tagged(arabic, "ara"))),
+    )
+    latin = F.col("lang") == "eng"
+    stripped = F.when(latin, N.strip_articles(F.col("variant"))).otherwise(F.col("variant"))
+    rows = cut_lineage(
+        listed.where("variant IS NOT NULL").withColumn("variant", stripped).distinct()
+    )
+    pruned = prune_supersets(rows.where(latin), "entity_id", "variant")
+    return pruned.unionByName(rows.where(~latin)).select("entity_id", "lang", "variant")
 
 
 def query_specifications(names: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.functions import similarity
+from presslens.operators.sizing import cut_lineage
+
+# Executors get the compared functions with the job, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(similarity)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Distinct headlines per side that are compared in one task.
-CELL_ROWS = 2048
+CELL_ROWS = 512
 
 
 def exact_matches(a: DataFrame, b: DataFrame, text_a: str, text_b: str) -> DataFrame:
@@ -84,15 +92,21 @@ def best_matches(
         similarity.normalized(F.col(choice)).alias("_norm"),
         F.col(choice).alias("_text"),
     )
-    offered = offered.groupBy("_block", "_norm").agg(F.min("_text").alias("_text"))
+    # Both lists of distinct headlines are read several times below, so they are computed once.
+    offered = cut_lineage(offered.groupBy("_block", "_norm").agg(F.min("_text").alias("_text")))
     wanted = asked.where(F.col("_norm").isNotNull()).select("_block", "_norm").distinct()
+    wanted = cut_lineage(wanted)
     equal = wanted.where("_norm <> ''").join(offered, ["_block", "_norm"]).select(
         "_block", "_norm", F.col("_text").alias("_match"), F.lit(1.0).alias("_score")
     )
     rest = wanted.join(offered.where("_norm <> ''"), ["_block", "_norm"], "left_anti")
     cells = ["_block", "_row", "_column"]
-    left = _cells(rest, offered, "_row", "_column", cell)
-    right = _cells(offered, rest, "_column", "_row", cell)
+    # A fixed number of partitions: a cell is little data but much work, so tasks must not be merged.
+    spark = queries.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    tasks = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    left = _cells(rest, offered, "_row", "_column", cell).repartition(tasks, *cells)
+    right = _cells(offered, rest, "_column", "_row", cell).repartition(tasks, *cells)
     best = (
         left.groupBy(*cells)
         .cogroup(right.groupBy(*cells))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute a frame that several branches read once, and keep it in the checkpoint folder.
+
+    The folder is the shared one the cluster names in `spark.checkpoint.dir`; only where none is named,
+    as in tests, a new local one is made.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="presslens-checkpoint-"))
+    return df.checkpoint()
+
+
 def bounded_values(df: DataFrame, column: str, limit: int = 50_000) -> list:
     """Sorted distinct values of a dictionary column, refusing anything larger than a dictionary."""
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()

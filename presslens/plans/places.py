@@ -12,6 +12,7 @@ from presslens.operators import mentions as M
 from presslens.operators import ranking
 from presslens.operators import rollups as R
 from presslens.operators import stats as S
+from presslens.operators.sizing import cut_lineage
 from presslens.plans.registry import query
 from presslens.plans.tables import rows, sql_values, table
 
@@ -280,7 +281,7 @@ def _brand_names(spark, directory):
         AND len(list_distinct(string_split(b.name, ' '))) < len(list_distinct(string_split(a.name, ' '))))""",
 )
 def prune_superset_names(spark, directory):
-    return G.prune_supersets(_brand_names(spark, directory), "p_brand", "name")
+    return G.prune_supersets(cut_lineage(_brand_names(spark, directory)), "p_brand", "name")
 
 
 @query(
