@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions import text as T
-from presslens.operators.sizing import BROADCAST_ROWS, spread
+from presslens.operators.sizing import bounded_values, broadcast_if_small, spread
+
+# Dictionary rows up to which spellings are looked up in a set inside the row.
+LOOKUP_ROWS = 20_000
 
 
 def article_lengths(articles: DataFrame, body: str = "body") -> DataFrame:
@@ -39,13 +42,17 @@ def vocabulary_stats(variants: DataFrame) -> DataFrame:
     )
 
 
+def worded(articles: DataFrame, keep: list[str], body: str = "body") -> DataFrame:
+    """The `keep` columns and the words of every body."""
+    return spread(articles.select(*keep, body)).select(*keep, T.words(F.col(body)).alias("_words"))
+
+
 def exploded_ngrams(
     articles: DataFrame, sizes: list[int], keep: list[str], body: str = "body"
 ) -> DataFrame:
     """One row per n-gram of every wanted size, with the `keep` columns."""
-    tokens = spread(articles.select(*keep, body)).select(*keep, T.words(F.col(body)).alias("_words"))
     grams = T.ngrams_of_sizes(F.col("_words"), sizes)
-    return tokens.select(*keep, F.explode(grams).alias("variant"))
+    return worded(articles, keep, body).select(*keep, F.explode(grams).alias("variant"))
 
 
 def token_counts(articles: DataFrame, body: str = "body") -> DataFrame:
@@ -67,19 +74,23 @@ def spelling_hits(
 ) -> DataFrame:
     """One row per occurrence of a spelling and dictionary id it belongs to.
 
-    Only n-gram sizes that occur in the vocabulary are built. The broadcast of the dictionary is
-    behind a size check; `by_lang` uses the spellings of an article's own language only.
+    A dictionary of ordinary size is looked up inside the row, so only the hits are exploded; a larger
+    one is joined to all n-grams of its sizes. It is broadcast only when its counted rows allow it.
+    `by_lang` uses the spellings of an article's own language only.
     """
     if match == "tokenized":
         variants = tokenized_variants(variants)
     keys = ["variant", "lang"] if by_lang else ["variant"]
-    per_size = variants.groupBy(T.piece_count(F.col("variant")).alias("pieces")).count().collect()
-    sizes = [row["pieces"] for row in per_size if row["pieces"]] or [1]
-    grams = exploded_ngrams(articles, sizes, list(dict.fromkeys([*keep, *keys[1:]])), body)
+    kept = list(dict.fromkeys([*keep, *keys[1:]]))
     names = variants.select(*keys, "kind", "entity_id").distinct()
-    if sum(row["count"] for row in per_size) <= BROADCAST_ROWS:
-        names = F.broadcast(names)
-    return grams.join(names, keys)
+    known = names.select("variant").limit(LOOKUP_ROWS + 1).collect()
+    if len(known) <= LOOKUP_ROWS:
+        tokens = worded(articles, kept, body)
+        found = T.matching_ngrams(F.col("_words"), [row["variant"] for row in known])
+        hits = tokens.select(*kept, F.explode(found).alias("variant"))
+        return hits.join(F.broadcast(names), keys)
+    sizes = bounded_values(vocabulary(variants), "pieces")
+    return exploded_ngrams(articles, sizes, kept, body).join(broadcast_if_small(names), keys)
 
 
 def spelling_counts(articles: DataFrame, variants: DataFrame, **options) -> DataFrame:
@@ -159,7 +170,7 @@ def sentences(articles: DataFrame, body: str = "body") -> DataFrame:
 
 def paywall_scores(articles: DataFrame, phrases: list[str], body: str = "body") -> DataFrame:
     """Paywall phrase hits, pieces, and hits per piece of every article."""
-    lowered = articles.withColumn("_lower", F.lower(body))
+    lowered = spread(articles).withColumn("_lower", F.lower(body))
     scored = lowered.withColumns(
         {
             "paywall_hits": T.phrase_hits(F.col("_lower"), phrases),

@@ -48,21 +48,20 @@ def location_period_rollup(
 def mention_funnel(sets: DataFrame) -> DataFrame:
     """Per country, articles that mention it, its provinces, its districts, with and without keywords.
 
-    Locations are first folded to (country, three level flags) inside the article, so an article gives
-    one row per country it mentions at any level.
+    The levels at which an article names a country are found inside its row, so the article gives one
+    row per country and nothing but the result is shuffled.
     """
-    place = F.explode("locations").alias("location")
-    flags = (
-        sets.select("article_id", (F.size("keywords") > 0).alias("has_kw"), place)
-        .select(
-            "article_id",
-            "has_kw",
-            country_of(F.col("location")).alias("country"),
-            level_of(F.col("location")).alias("level"),
-        )
-        .groupBy("article_id", "country", "has_kw")
-        .agg(*[F.max(F.col("level") == i).alias(f"l{i}") for i in range(3)])
+    countries = F.array_distinct(F.transform("locations", country_of))
+    named = sets.select(
+        "locations", (F.size("keywords") > 0).alias("has_kw"), F.explode(countries).alias("country")
     )
+
+    def at(level):
+        return F.exists(
+            "locations", lambda i: (country_of(i) == F.col("country")) & (level_of(i) == level)
+        )
+
+    flags = named.select("country", "has_kw", *[at(i).alias(f"l{i}") for i in range(3)])
     conditions = {
         "articles_country": F.col("l0"),
         "articles_country_provinces": F.col("l0") & F.col("l1"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslens.operators.sizing import cut_lineage
+
 
 def value_counts(df: DataFrame, columns: list[str], name: str = "n") -> DataFrame:
     """Rows per value; null values are left out."""
@@ -33,16 +35,18 @@ def length_quantiles(df: DataFrame, by: str, column: str, shares: list[float]) -
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Rows per bin of equal width between the smallest and the largest value.
 
-    The last bin is closed on the right; bins without rows are absent. The two extremes come from a
-    scalar subquery.
+    The last bin is closed on the right; bins without rows are absent. Rows are counted per value first
+    and the counts kept, so that an expensive input is computed once for the extremes and the bins.
     """
-    present = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_x"))
-    low = present.agg(F.min("_x")).scalar()
-    high = present.agg(F.max("_x")).scalar()
-    width = (high - low) / F.lit(float(bins))
-    place = F.floor((F.col("_x") - low) / F.nullif(width, F.lit(0.0)))
-    bin_ = F.least(F.lit(bins - 1), F.coalesce(place, F.lit(0))).cast("int")
-    return present.select(bin_.alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
+    value = F.col(column).cast("double").alias("_x")
+    per_value = cut_lineage(df.groupBy(value).agg(F.count("*").alias("_n")))
+    # Only now: a null test before the counting would be pushed down and score every row twice.
+    per_value = per_value.where("_x IS NOT NULL")
+    low, high = per_value.agg(F.min("_x"), F.max("_x")).first()
+    width = ((high or 0.0) - (low or 0.0)) / bins
+    place = F.floor((F.col("_x") - F.lit(low)) / F.lit(width)) if width > 0 else F.lit(0)
+    bin_ = F.least(F.lit(bins - 1), place).cast("int")
+    return per_value.groupBy(bin_.alias("bin")).agg(F.sum("_n").alias("n"))
 
 
 def weighted_quartiles(df: DataFrame, value: str, weight: str, by: str) -> DataFrame:

@@ -172,8 +172,8 @@ paywall AS (
 
 
 def paywall_table(spark, directory):
-    scored = M.paywall_scores(articles(spark, directory), X.PAYWALL_PHRASES)
-    return scored.select("article_id", "source", "paywall_hits", "pieces", "paywall_score")
+    found = articles(spark, directory).select("article_id", "source", "body")
+    return M.paywall_scores(found, X.PAYWALL_PHRASES).drop("body")
 
 
 @query("paywall_score", f"WITH {SQL_PAYWALL} SELECT * FROM paywall")

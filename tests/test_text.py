@@ -116,3 +116,17 @@ def test_dates(spark):
     assert one(spark, DT.week_end(F.col("d")), d=day) == dt.date(2025, 1, 5)
     assert one(spark, DT.iso_year(F.col("d")), d=day) == 2025
     assert one(spark, DT.period_end(F.col("d"), "M"), d=day) == dt.date(2024, 12, 31)
+
+
+def test_large_dictionaries_take_the_join_and_give_the_same(spark, monkeypatch):
+    articles = spark.createDataFrame(
+        [(1, "new york city and New York, york"), (2, "york"), (3, "city of")], "article_id long, body string"
+    )
+    rows = [("location", i, v) for i, v in [("a", "new york"), ("a", "york"), ("b", "new york city"), ("c", "city of")]]
+    small = M.mentions(articles, spellings(spark, rows)).collect()
+    monkeypatch.setattr(M, "LOOKUP_ROWS", 1)
+    large = M.mentions(articles, spellings(spark, rows)).collect()
+    assert sorted(map(tuple, small)) == sorted(map(tuple, large))
+    assert {(r["article_id"], r["entity_id"], r["n"]) for r in small} == {
+        (1, "a", 5), (1, "b", 1), (2, "a", 1), (3, "c", 1),
+    }
