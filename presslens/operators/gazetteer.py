@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from presslens.functions import names as N
 from presslens.operators import ranking
 from presslens.operators.daily import level_of
-from presslens.operators.sizing import broadcast_if_small, cut_lineage
+from presslens.operators.sizing import cut_lineage
 
 # Up to this many words of a name, its word subsets are listed to find the names it contains.
 SUBSET_WORDS = 8
@@ -53,11 +53,11 @@ def hierarchy_ids(
     """
     code = F.replace("code_1", F.lit("."), F.lit("_"))
     if fixed is not None:
-        places = places.join(broadcast_if_small(fixed), "nam_1", "left")
+        places = places.join(fixed, "nam_1", "left")
         code = F.coalesce("fixed_id", code)
     coded = places.withColumns({"id_0": F.lower("code_0"), "id_1": F.lower(code)}).drop("fixed_id")
     districts = ranking.number_rows(
-        coded.where("level = 2"), ["id_1"], [F.col(order)], F.col(order), "_number"
+        coded.where("level = 2"), ["id_1"], [F.col(order)], "_number"
     )
     others = coded.where("level <> 2").withColumn("_number", F.lit(None).cast("long"))
     numbered = districts.unionByName(others)
@@ -84,7 +84,7 @@ def relevel_country(places: DataFrame, country: str, parents: DataFrame) -> Data
     here = F.col("nam_0") == country
     rest = places.where(~here | (F.col("level") == 0))
     moved = places.where(here & (F.col("level") == 1)).withColumn("nam_2", F.col("nam_1"))
-    moved = moved.join(broadcast_if_small(parents), "nam_2", "left")
+    moved = moved.join(parents, "nam_2", "left")
     moved = moved.withColumns({"level": F.lit(2), "nam_1": F.col("parent")}).drop("parent")
     provinces = parents.select("parent").distinct()
     added = places.where(here & (F.col("level") == 0)).withColumn("nam_0", F.lit(country))
@@ -135,7 +135,7 @@ def expand_aliases(names: DataFrame, aliases: DataFrame, level: int, target: str
     `aliases` has (`alias`, `canonical`); an alias without a canonical name adds nothing, one listed
     twice adds one row. `target` is the column that takes the alias.
     """
-    pairs = broadcast_if_small(aliases.where("canonical IS NOT NULL").distinct())
+    pairs = aliases.where("canonical IS NOT NULL").distinct()
     at_level = names.where(F.col("level") == level)
     copies = at_level.join(pairs, F.col("location_name") == F.col("canonical"))
     copies = copies.withColumn(target, F.col("alias")).drop("alias", "canonical")
@@ -165,9 +165,7 @@ def assign_missing_ids(df: DataFrame, country: str, uri: str, id_: str) -> DataF
     """
     lacking = df.where(F.col(id_).isNull() & F.col(uri).isNotNull())
     lacking = lacking.select(F.col(country).alias("_cc"), F.col(uri).alias("_uri")).distinct()
-    numbered = ranking.number_rows(
-        lacking, ["_cc"], [F.col("_uri")], ranking.text_key(F.col("_uri")), "_i"
-    )
+    numbered = ranking.number_rows(lacking, ["_cc"], [F.col("_uri")], "_i")
     new = numbered.withColumn(
         "_new", F.concat("_cc", F.lit("_00_"), (F.col("_i") - 1).cast("string"))
     ).drop("_i")
@@ -212,7 +210,7 @@ def query_specifications(names: DataFrame, overrides: DataFrame) -> DataFrame:
     `overrides` (`location_name`, `override`) replaces addresses. Districts lose their names, districts
     without an address are left out, repeated rows are dropped.
     """
-    set_ = names.join(broadcast_if_small(overrides), "location_name", "left")
+    set_ = names.join(overrides, "location_name", "left")
     set_ = set_.withColumn("uri", F.coalesce("override", "uri")).drop("override")
     district = F.col("level") == 2
     kept = set_.where(~(district & F.coalesce(F.col("uri") == "", F.lit(True))))

@@ -52,7 +52,7 @@ def keyword_table(
     joined = translations.join(clusters, F.col("english") == F.col("keyword"), "left").drop("keyword")
     position = F.col("position")
     raw = joined.withColumn("_raw_cluster", F.col("cluster"))
-    filled = ranking.forward_fill(raw, ["english", "arabic", "cluster"], [position], position)
+    filled = ranking.forward_fill(raw, ["english", "arabic", "cluster"], [position])
     # Looking back never leaves the old part, so one fill over the whole table serves both parts.
     cluster = F.when(position < old_rows, F.col("cluster")).otherwise(F.col("_raw_cluster"))
     merged = filled.select(

@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.operators.sizing import broadcast_if_small
-
 
 def keep_in(df: DataFrame, column: str, values: list) -> DataFrame:
     """Rows whose value is in a short list."""
@@ -39,7 +37,7 @@ def translate(df: DataFrame, column: str, mapping: DataFrame, target: str | None
     A key that maps to null becomes null, so what counts is that the key is there.
     """
     names = mapping.select(F.col("key").alias("_key"), F.col("value").alias("_value"))
-    joined = df.join(broadcast_if_small(names), F.col(column) == F.col("_key"), "left")
+    joined = df.join(names, F.col(column) == F.col("_key"), "left")
     value = F.when(F.col("_key").isNotNull(), F.col("_value")).otherwise(F.col(column))
     return joined.withColumn(target or column, value).drop("_key", "_value")
 

@@ -19,21 +19,14 @@ def source_frequency(df: DataFrame, keys: list[str], weight: str, name: str) ->
 def number_repeated_titles(sources: DataFrame) -> DataFrame:
     """Titles that several addresses share become `title (1)`, `title (2)`, … by falling frequency.
 
-    A title may be shared by very many addresses, so it is numbered in pieces: one per frequency and
-    address range.
+    A title may be shared by very many addresses, so it is numbered in ranges of frequency and address.
     """
     repeated = sources.groupBy("title").agg(F.count("*").alias("_shared"))
     marked = sources.join(repeated, "title")
-    bucketed = ranking.add_bucket(marked, ranking.text_key(F.col("uri")))
-    numbered = ranking.running_number(
-        bucketed,
-        ["title"],
-        [F.desc("frequency"), F.asc("uri")],
-        {"frequency": False, "_bucket": True},
-    )
+    numbered = ranking.number_rows(marked, ["title"], [-F.col("frequency"), F.col("uri")])
     suffixed = F.concat("title", F.lit(" ("), F.col("number"), F.lit(")"))
     title = F.when(F.col("_shared") > 1, suffixed).otherwise(F.col("title"))
-    return numbered.withColumn("title", title).drop("_shared", "_bucket", "number")
+    return numbered.withColumn("title", title).drop("_shared", "number")
 
 
 def top_labelled(sources: DataFrame, k: int = 10, longest: int = 45) -> DataFrame:
@@ -111,6 +104,6 @@ def agreed_value(df: DataFrame, first: str, second: str, key: str, overrides: Da
 
     `overrides` has the key and `override`; an override also replaces an agreed value.
     """
-    joined = df.join(F.broadcast(overrides), key, "left")
+    joined = df.join(overrides, key, "left")
     agreed = F.when(F.col(first) == F.col(second), F.col(first))
     return joined.withColumn("uri", F.coalesce("override", agreed)).drop("override")

@@ -1,8 +1,9 @@
 """Ordered operators that stay parallel inside one large group.
 
-A window numbers a whole group in one task. Here a group is first cut into consecutive buckets of its
-order; each bucket is numbered by itself and shifted by the rows of the buckets before it. The cut
-points come from approximate quantiles and only steer the balance: any cut points give the same result.
+A window numbers a whole group in one task. Here the rows are first cut into consecutive ranges of their
+order; each (group, range) is numbered by itself and shifted by the rows of the ranges before it. The
+cut points come from a small sample and only steer the balance: any cut points give the same result. They
+are cut on the whole order, so rows that tie on its first column are spread too.
 """
 
 from __future__ import annotations
@@ -10,92 +11,90 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+RANGES = 64
+# Rows of the sample that the cut points are taken from.
+SAMPLE = 4096
 
 
-def text_key(text: Column) -> Column:
-    """A number that never falls as the text rises: its first seven bytes."""
-    head = F.rpad(F.substring(F.hex(F.encode(text, "UTF-8")), 1, 14), 14, "0")
-    return F.conv(head, 16, 10).cast("long")
+def with_range(df: DataFrame, order: list[Column], name: str = "_range", ranges: int = RANGES) -> DataFrame:
+    """Number the consecutive ranges of an ascending order that hold about the same number of rows.
 
+    The sample is the rows with the smallest hashes, which no row can be part of by its place.
+    """
+    fields = [c.alias(f"k{i}") for i, c in enumerate(order)]
+    keyed = df.withColumn("_key", F.struct(*fields))
+    sample = keyed.select("_key", F.xxhash64(*df.columns).alias("_h")).orderBy("_h").limit(SAMPLE)
+    types = keyed.schema["_key"].dataType.fields
+    printed = [F.col(f"_key.{f.name}").cast("string") for f in types]
+    # SAMPLE rows at most reach the driver; the sort is Spark's, so that it agrees with the comparison.
+    keys = sample.orderBy("_key").select(*printed).collect()
+    picked = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
+    known = [_literal(key, types) for key in dict.fromkeys(picked)]
+    if not known:
+        return keyed.withColumn(name, F.lit(0)).drop("_key")
+    below = F.size(F.filter(F.expr(f"array({', '.join(known)})"), lambda c: c < F.col("_key")))
+    return keyed.withColumn(name, below).drop("_key")
+
+
+def _literal(values: tuple, types: list) -> str:
+    """SQL text of a struct from the printed values of its fields."""
 
-def add_bucket(df: DataFrame, key: Column, name: str = "_bucket", buckets: int = BUCKETS) -> DataFrame:
-    """Number the consecutive ranges of a numeric key that hold about the same number of rows."""
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(key, shares, 1000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return df.withColumn(name, F.lit(0))
-    return df.withColumn(name, F.coalesce(F.size(F.filter(F.lit(cuts), lambda c: c < key)), F.lit(0)))
+    def quoted(value):
+        if value is None:
+            return "NULL"
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    parts = [f"'{f.name}', CAST({quoted(v)} AS {f.dataType.simpleString()})" for v, f in zip(values, types)]
+    return f"named_struct({', '.join(parts)})"
 
 
 def _rejoin(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on keys that may be null, keeping the keys of `df`."""
     renamed = side.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
     return df.join(renamed, condition, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def running_number(
-    df: DataFrame,
-    groups: list[str],
-    order: list[Column],
-    coarse: dict[str, bool],
-    name: str = "number",
-) -> DataFrame:
-    """`row_number` per group, computed per (group, coarse) cell plus an offset.
-
-    `order` must be a total order. `coarse` maps columns to their direction (True = ascending); sorting
-    by them must not contradict `order`.
-    """
-    keys = [*groups, *coarse]
-    cells = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    way = [F.col(c).asc() if up else F.col(c).desc() for c, up in coarse.items()]
-    before = Window.partitionBy(*groups).orderBy(*way).rowsBetween(Window.unboundedPreceding, -1)
+def number_rows(df: DataFrame, groups: list[str], order: list[Column], name: str = "number") -> DataFrame:
+    """`row_number` per group along an ascending total order."""
+    ranged = with_range(df, order)
+    keys = [*groups, "_range"]
+    cells = ranged.groupBy(*keys).agg(F.count("*").alias("_n"))
+    # At most RANGES rows per group are left here.
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys).orderBy(*order)
-    numbered = _rejoin(df, offsets, keys).withColumn(
-        name, (F.col("_offset") + F.row_number().over(inside)).cast("long")
-    )
-    return numbered.drop("_offset")
-
-
-def number_rows(
-    df: DataFrame, groups: list[str], order: list[Column], spread_on: Column, name: str = "number"
-) -> DataFrame:
-    """`running_number` with buckets made from `spread_on`, which must not fall along `order`."""
-    return running_number(add_bucket(df, spread_on), groups, order, {"_bucket": True}, name).drop(
-        "_bucket"
-    )
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    numbered = _rejoin(ranged, offsets, keys)
+    return numbered.withColumn(name, (F.col("_offset") + inside).cast("long")).drop("_offset", "_range")
 
 
-def forward_fill(df: DataFrame, columns: list[str], order: list[Column], spread_on: Column) -> DataFrame:
-    """Replace nulls by the last value before them in the order of the whole table."""
-    cut = add_bucket(df, spread_on)
+def forward_fill(df: DataFrame, columns: list[str], order: list[Column]) -> DataFrame:
+    """Replace nulls by the last value before them in the ascending order of the whole table."""
+    ranged = with_range(df, order)
     last = [
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{c}")
         for c in columns
     ]
-    # One row per bucket, so the window over all of them is small however large the table is.
-    ends = cut.groupBy("_bucket").agg(*last)
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, so the window over all of them is small however large the table is.
+    ends = ranged.groupBy("_range").agg(*last)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        "_bucket",
+        "_range",
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns],
     )
     upto = (
-        Window.partitionBy("_bucket")
+        Window.partitionBy("_range")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = cut.join(F.broadcast(carried), "_bucket", "left")
+    # At most RANGES rows are broadcast.
+    joined = ranged.join(F.broadcast(carried), "_range", "left")
     filled = joined.withColumns(
         {
             c: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_carry_{c}"))
             for c in columns
         }
     )
-    return filled.drop("_bucket", *[f"_carry_{c}" for c in columns])
+    return filled.drop("_range", *[f"_carry_{c}" for c in columns])

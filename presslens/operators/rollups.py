@@ -145,7 +145,7 @@ def top_measures(shares: DataFrame, measures: list[str], k: int) -> DataFrame:
 def display_names(variants: DataFrame, overrides: DataFrame) -> DataFrame:
     """First spelling of every id with its words capitalised, unless overridden."""
     first = variants.groupBy("entity_id").agg(F.min_by("variant", "position").alias("_first"))
-    named = first.join(F.broadcast(overrides), "entity_id", "left")
+    named = first.join(overrides, "entity_id", "left")
     return named.select(
         "entity_id", F.coalesce("display_name", F.initcap("_first")).alias("display_name")
     )

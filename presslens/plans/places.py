@@ -399,8 +399,7 @@ def forward_fill(spark, directory):
         F.when(F.col("p_size") > 40, F.col("p_brand")).alias("brand"),
         F.when(F.col("p_size") % 9 == 0, F.col("p_type")).alias("kind"),
     )
-    key = F.col("p_partkey")
-    return ranking.forward_fill(raw, ["brand", "kind"], [key], key)
+    return ranking.forward_fill(raw, ["brand", "kind"], [F.col("p_partkey")])
 
 
 # Aliases; one without a canonical name, one listed twice.

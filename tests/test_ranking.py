@@ -20,28 +20,31 @@ def hot(spark):
 def test_running_number_is_row_number(hot):
     plain = F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long")
     order = [F.col("v"), F.col("id")]
-    both = ranking.number_rows(hot, ["g"], order, F.col("v"), "n").withColumn("p", plain)
+    both = ranking.number_rows(hot, ["g"], order, "n").withColumn("p", plain)
     assert both.count() == 5000
     assert both.where("n <> p").count() == 0
 
 
 def test_running_number_by_text(hot):
     plain = F.row_number().over(Window.partitionBy("g").orderBy("name")).cast("long")
-    key = ranking.text_key(F.col("name"))
-    both = ranking.number_rows(hot, ["g"], [F.col("name")], key, "n").withColumn("p", plain)
+    both = ranking.number_rows(hot, ["g"], [F.col("name")], "n").withColumn("p", plain)
     assert both.where("n <> p").count() == 0
 
 
-def test_buckets_are_even(hot):
-    sizes = ranking.add_bucket(hot, F.col("id")).groupBy("_bucket").count()
-    assert sizes.agg(F.max("count")).first()[0] < 3 * 5000 / ranking.BUCKETS
+@pytest.mark.parametrize("first", ["id", "name", "same"])
+def test_ranges_are_even_also_for_ties_and_long_prefixes(hot, first):
+    frame = hot.withColumn("name", F.concat(F.lit("https://en.example.org/wiki/"), "name"))
+    frame = frame.withColumn("same", F.when(F.col("id") > 9, 1))
+    sizes = ranking.with_range(frame, [F.col(first), F.col("id")]).groupBy("_range").count()
+    assert sizes.agg(F.max("count")).first()[0] < 4 * 5000 / ranking.RANGES
+    assert sizes.count() > ranking.RANGES / 2
 
 
 def test_forward_fill(hot):
     gappy = hot.withColumn("v", F.when(F.col("id") % 700 == 5, F.col("v")))
     window = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     plain = gappy.withColumn("p", F.last("v", ignorenulls=True).over(window)).select("id", "p")
-    filled = ranking.forward_fill(gappy, ["v"], [F.col("id")], F.col("id"))
+    filled = ranking.forward_fill(gappy, ["v"], [F.col("id")])
     joined = filled.join(plain, "id")
     assert joined.count() == 5000
     assert joined.where("NOT (v <=> p)").count() == 0
@@ -49,7 +52,7 @@ def test_forward_fill(hot):
 
 
 def test_number_rows_of_an_empty_table(hot):
-    empty = ranking.number_rows(hot.where("id < 0"), ["g"], [F.col("id")], F.col("id"), "n")
+    empty = ranking.number_rows(hot.where("id < 0"), ["g"], [F.col("id")], "n")
     assert empty.count() == 0
 
 
