@@ -130,3 +130,15 @@ def test_large_dictionaries_take_the_join_and_give_the_same(spark, monkeypatch):
     assert {(r["article_id"], r["entity_id"], r["n"]) for r in small} == {
         (1, "a", 5), (1, "b", 1), (2, "a", 1), (3, "c", 1),
     }
+
+
+def test_paywall_lists(spark):
+    from presslens.functions import paywall
+
+    assert len(set(paywall.ENGLISH)) == len(paywall.ENGLISH)
+    assert len(set(paywall.ARABIC)) == len(paywall.ARABIC)
+    articles = spark.createDataFrame([(1, "Subscribe now to read more"), (2, "سجل الآن")], "article_id long, body string")
+    english = {r["article_id"]: (r["paywall_hits"], r["pieces"]) for r in M.paywall_scores(articles, paywall.ENGLISH).collect()}
+    assert english == {1: (3, 5), 2: (0, 2)}
+    arabic = {r["article_id"]: r["paywall_hits"] for r in M.paywall_scores(articles, paywall.ARABIC).collect()}
+    assert arabic == {1: 0, 2: 2}
