@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows up to which a dictionary-like side is broadcast; beyond it Spark shuffles the join.
@@ -32,17 +32,27 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute a frame that several branches read once, and keep it in the checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the one the session names in `spark.checkpoint.dir`.
 
-    The folder is the shared one the cluster names in `spark.checkpoint.dir`; only where none is named,
-    as in tests, a new local one is made.
+    Where none is named, a local session gets a new folder of its own; on a cluster that would be another
+    folder on every node, so there it is an error.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    made = "file://" + tempfile.mkdtemp(prefix="presslens-checkpoint-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute a frame that several branches read once, and keep it in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="presslens-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
