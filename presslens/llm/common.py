@@ -45,3 +45,12 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def small(df: DataFrame, most_bytes: int) -> DataFrame:
+    """A `written` frame with a hint to broadcast it, if its files have at most `most_bytes` bytes.
+
+    A larger one is returned without a hint, so that the join is planned as a shuffle.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= most_bytes else df

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import mixing, quality_rules, secrets, warc
+from presslens.llm import decontamination, mixing, quality_rules, secrets, substring_dedup, warc
 from presslens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, directory):
+    return substring_dedup.dedup_report(table(spark, directory, "documents"))
+
+
 @query("op4_mixing", mixing.MIX_SQL)
 def op4_mixing(spark, directory):
     return mixing.mix_report(table(spark, directory, "documents"))
@@ -35,6 +40,11 @@ def op6_quality_rules(spark, directory):
     return quality_rules.quality_report(table(spark, directory, "documents"), table(spark, directory, "labels"))
 
 
+@query("op8_decontamination")
+def op8_decontamination(spark, directory):
+    return decontamination.overlaps(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
 @query("op9_warc", warc.ARCHIVE_SQL)
 def op9_warc(spark, directory):
     return warc.archive(spark, table(spark, directory, "pages"))
