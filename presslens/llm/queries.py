@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import decontamination, mixing, quality_rules, secrets, substring_dedup, warc
+from presslens.llm import decontamination, jaccard_join, mixing, quality_rules, secrets, substring_dedup, warc
 from presslens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op6_quality_rules(spark, directory):
     return quality_rules.quality_report(table(spark, directory, "documents"), table(spark, directory, "labels"))
 
 
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark, directory):
+    return jaccard_join.join_report(table(spark, directory, "documents"))
+
+
 @query("op8_decontamination")
 def op8_decontamination(spark, directory):
     return decontamination.overlaps(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
