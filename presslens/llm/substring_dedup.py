@@ -1,6 +1,6 @@
 """Substring deduplication by recompression: repeats of `WINDOW` words across documents.
 
-Naming. In `ROUNDS` rounds the symbols of every document are renamed: first runs of one symbol, then
+Naming. In `ROUNDS` rounds the symbols of every document are renamed: runs of one symbol, and
 neighbours of which a coin of their names says left and right become one symbol. A name is a hash of
 what it stands for, so all tasks give the same name to the same run or pair and equal substrings get the same
 symbols inside, whatever surrounds them. For every symbol the words that it depends on are tracked. Of the last
@@ -38,6 +38,8 @@ from presslens.llm.common import small, words_of, written
 
 WINDOW = 50
 ROUNDS = 4
+# Runs are named in so many of the first rounds; every such round widens what a symbol depends on.
+RUN_ROUNDS = 1
 BROADCAST_BYTES = 32 << 20
 _LAST = (1 << 63) - 1
 _FAR = 1 << 60
@@ -87,13 +89,13 @@ def anchors(words: np.ndarray, rows: np.ndarray):
     """Names of the anchors of all rows, the words [low, high) that each depends on, and their rows."""
     row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
     names, low, high = words.copy(), np.arange(len(words)), np.arange(1, len(words) + 1)
-    for number in range(ROUNDS):
-        # A run ends where a neighbour differs, so what it depends on reaches one symbol further.
-        names, low, high, row = _runs(names, *_reach(low, high, row), row) if len(names) else (names, low, high, row)
-        if len(names):
-            names, low, high, row = _pairs(names, low, high, row, number)
     if not len(names):
         return names, low, high, row
+    for number in range(ROUNDS):
+        if number < RUN_ROUNDS:
+            # A run ends where a neighbour differs, so what it depends on reaches one symbol further.
+            names, low, high, row = _runs(names, *_reach(low, high, row), row)
+        names, low, high, row = _pairs(names, low, high, row, number)
     edge = np.zeros(len(names), bool)
     edge[0] = edge[-1] = True
     edge[1:] |= row[1:] != row[:-1]
