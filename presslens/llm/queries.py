@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import decontamination, jaccard_join, mixing, quality_rules, secrets, substring_dedup, warc
+from presslens.llm import (
+    decontamination,
+    jaccard_join,
+    mixing,
+    quality_rules,
+    secrets,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from presslens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +44,11 @@ def op4_mixing(spark, directory):
     return mixing.mix_report(table(spark, directory, "documents"))
 
 
+@query("op5_toxicity")
+def op5_toxicity(spark, directory):
+    return toxicity.toxicity_report(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 @query("op6_quality_rules")
 def op6_quality_rules(spark, directory):
     return quality_rules.quality_report(table(spark, directory, "documents"), table(spark, directory, "labels"))
