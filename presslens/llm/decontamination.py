@@ -117,7 +117,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         sent = spark.sparkContext.broadcast(block)
 
         def scan(batches, sent=sent):
-            for batch in batches:
+            for batch in tokens.parts(batches, 1):
                 words, ends = tokens.word_hashes(batch.column(1), fold=True)
                 out = list(sent.value.overlaps(words, ends))
                 ids = batch.column(0).take(pa.array([o[0] for o in out], pa.int64()))
@@ -132,16 +132,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` that overlap with no item, with all their columns."""
     spark, kept = docs.sparkSession, docs
-    name = unused(docs, "_scanned")
+    name, last = unused(docs, "_scanned"), len(docs.columns)
     for block in blocks(benchmark):
         sent = spark.sparkContext.broadcast(block)
 
         def scan(batches, sent=sent):
-            for batch in batches:
-                words, ends = tokens.word_hashes(batch.column(batch.num_columns - 1), fold=True)
+            for batch in tokens.parts(batches, last):
+                words, ends = tokens.word_hashes(batch.column(last), fold=True)
                 clean = np.ones(batch.num_rows, bool)
                 clean[[o[0] for o in sent.value.overlaps(words, ends)]] = False
-                yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(clean))
+                yield batch.select(list(range(last))).filter(pa.array(clean))
 
         kept = kept.withColumn(name, F.col("text").cast("string")).mapInArrow(scan, docs.schema)
     return kept

@@ -39,6 +39,8 @@ LEAST = 4
 BROADCAST_BYTES = 32 << 20
 # Children beyond this product of two nodes' counts are matched by place, so that a huge list stays linear.
 CELLS = 4096
+# Elements nested deeper than this stand beside each other.
+DEPTH = 200
 
 # Fixed values of the HTML standard: elements without content, and elements that end an open paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,7 +73,7 @@ WORDS = frozenset(
     "subscription tags teaser toc toolbar topbar trending widget".split()
 )
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'){{0,4096}})>|<[!?][^>]*>",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -140,7 +142,7 @@ def parse(html: str) -> Node:
                     aside |= key == "hidden" or value == "true"
         node = Node(tag, name, aside=aside)
         stack[-1].children.append(node)
-        if tag not in VOID and not token[4].rstrip().endswith("/"):
+        if tag not in VOID and not token[4].rstrip().endswith("/") and len(stack) < DEPTH:
             stack.append(node)
     add_text(html[at:])
     return root

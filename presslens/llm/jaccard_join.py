@@ -81,7 +81,7 @@ def _classes(rows: DataFrame) -> DataFrame:
     """(doc_id, key, n) of every row."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.parts(batches, 1):
             sets = _sets(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -101,7 +101,7 @@ def _frequencies(rows: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in tokens.parts(batches, 1):
             sets = [np.empty(0, np.uint64), *_sets(batch.column(1))]
             held += np.bincount((np.concatenate(sets) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         at = np.flatnonzero(held)
@@ -118,7 +118,7 @@ def _prefixes(rows: DataFrame, frequencies) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = frequencies.value
-        for batch in batches:
+        for batch in tokens.parts(batches, 1):
             parts, keys, sizes, places = [np.empty(0, np.uint64)], [], [], []
             for s in _sets(batch.column(1)):
                 n = len(s)
@@ -148,7 +148,7 @@ def _members(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, members, parts) of the wanted classes: their shingles and how many fall into each part."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.parts(batches, 1):
             sets = [s for s in _sets(batch.column(1)) if len(s)]
             counts = [np.bincount((s >> np.uint64(59)).astype(int), minlength=PARTS).astype("<i4") for s in sets]
             yield pa.RecordBatch.from_arrays(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from presslens.llm import (
     decontamination,
+    html_extraction,
     jaccard_join,
     mixing,
     quality_rules,
@@ -39,6 +40,11 @@ def op2_substring_dedup(spark, directory):
     return substring_dedup.dedup_report(table(spark, directory, "documents"))
 
 
+@query("op3_html_extraction")
+def op3_html_extraction(spark, directory):
+    return html_extraction.extract_pages(table(spark, directory, "pages"))
+
+
 @query("op4_mixing", mixing.MIX_SQL)
 def op4_mixing(spark, directory):
     return mixing.mix_report(table(spark, directory, "documents"))

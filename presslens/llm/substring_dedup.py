@@ -144,7 +144,7 @@ def _named(rows: DataFrame) -> DataFrame:
     """(name, key, ord, at) of every anchor; `at` is its number within the document."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.parts(batches, 2):
             words, ends = tokens.word_hashes(batch.column(2))
             names, _, _, row = anchors(words, ends)
             number = np.arange(len(row)) - np.searchsorted(row, row)
@@ -165,7 +165,7 @@ def _windows(rows: DataFrame) -> DataFrame:
     """(h1, h2, key, ord, at) of the windows that can be repeats; `shared` lists a row's shared anchors."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.parts(batches, 2):
             words, ends = tokens.word_hashes(batch.column(2))
             _, low, high, row = anchors(words, ends)
             borders = np.searchsorted(row, np.arange(batch.num_rows + 1))

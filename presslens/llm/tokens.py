@@ -45,6 +45,19 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[rows[0] : rows[-1]], rows - rows[0]
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in parts of about `most` bytes of text, so that arrays stay small."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = column_bytes(batch.column(column))[1]
+        start = 0
+        while start < batch.num_rows:
+            stop = max(int(np.searchsorted(ends, ends[start] + most, "right")) - 1, start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _pieces(raw: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of about `CHUNK` bytes that end with a row or at white space."""
     start = 0
@@ -86,17 +99,24 @@ def _hashes(raw: np.ndarray, first: np.ndarray, values: np.ndarray) -> np.ndarra
 
 def word_hashes(column: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of all words of a column and, per row, where its words begin (one more entry at the end)."""
+    return hashes_and_ends(column, fold)[:2]
+
+
+def hashes_and_ends(column: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As `word_hashes`, and the last two bytes of each word (0 before a word of one byte), with A-Z as they are."""
     raw, rows = column_bytes(column)
     values = _FOLDED if fold else _BYTES
-    hashes, starts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    hashes, starts, tails = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((0, 2), np.uint8)]
     for a, b in _pieces(raw, rows):
         inside = np.unique(np.clip(rows, a, b)) - a
         piece = raw[a:b]
-        first, _ = word_places(piece, inside)
+        first, last = word_places(piece, inside)
         hashes.append(_hashes(piece, first, values))
         starts.append(first + a)
+        before = np.where(last - first > 1, piece[np.maximum(last - 2, 0)], 0).astype(np.uint8)
+        tails.append(np.stack([before, piece[last - 1]], 1))
     where = np.concatenate(starts)
-    return np.concatenate(hashes), np.searchsorted(where, rows)
+    return np.concatenate(hashes), np.searchsorted(where, rows), np.concatenate(tails)
 
 
 def grams(words: np.ndarray, places: list[int]) -> np.ndarray:

@@ -281,7 +281,8 @@ def score(docs: DataFrame, chain: Chain, with_spans: bool = False) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
+        # Side by side, so more rows at a time cost less.
+        for batch in tokens.parts(batches, 2, 8 << 20):
             features, row, begin, end = token_features(batch.column(2))
             odds = model.marginals(model.emissions(np.where(features < 0, BUCKETS, features)), row)
             columns = [batch.column(0), batch.column(1), pa.array(model.scores(odds, row))]
