@@ -10,6 +10,7 @@ from presslens.llm import (
     decontamination,
     html_extraction,
     jaccard_join,
+    language_model,
     mixing,
     quality_rules,
     secrets,
@@ -35,6 +36,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_language_model")
+def op1_language_model(spark, directory):
+    return language_model.score_report(table(spark, directory, "documents"))
+
+
 @query("op2_substring_dedup")
 def op2_substring_dedup(spark, directory):
     return substring_dedup.dedup_report(table(spark, directory, "documents"))
