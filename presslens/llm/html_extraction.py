@@ -3,7 +3,7 @@
 Of every host up to `SAMPLE` different pages are taken (smallest hashes of their html). Their DOM trees are
 aligned by simple tree matching: two nodes match if their tag, class and id agree, and the children of matched
 nodes are matched in order so that most nodes match. Text that is the same at one place of all
-sampled pages is template; places whose text varies are slots. Pages that agree in most of their text are copies,
+sampled pages is template, if the text of its whole block is; places whose text varies are slots. Pages that agree in most of their text are copies,
 which tell nothing about the template, so only one of them is used.
 
 A page is extracted by matching it with its host's wrapper: what matches template text is dropped, the rest is
@@ -206,18 +206,40 @@ def _length(a: Node) -> int:
     return len(a.text) if not a.tag else sum(map(_length, a.children))
 
 
-def _confirm(wrapper: Node, page: Node) -> None:
-    """Drop from the wrapper what the page does not have, and texts that differ (slots)."""
+def _confirm(wrapper: Node, page: Node) -> bool:
+    """Drop from the wrapper what the page does not have, and blocks whose text differs (slots).
+
+    True if text differs that is part of the block around the node.
+    """
     pairs = match(wrapper, page)[1]
-    kept = []
+    texts = sum(not c.tag for c in wrapper.children) + sum(not c.tag for c in page.children)
+    kept, varies = [], texts != 2 * sum(not wrapper.children[i].tag for i, _ in pairs)
     for i, j in pairs:
         one, two = wrapper.children[i], page.children[j]
         if one.tag:
-            _confirm(one, two)
+            inner = _confirm(one, two)
+            varies |= inner and _inline(one)
             kept.append(one)
         elif one.text == two.text:
             kept.append(one)
+        else:
+            varies = True
     wrapper.children = kept
+    if varies:
+        _empty(wrapper)
+    return varies
+
+
+def _inline(node: Node) -> bool:
+    return node.tag not in BLOCKS
+
+
+def _empty(node: Node) -> None:
+    """Take the texts of a block out of the wrapper, those of its inline elements included."""
+    node.children = [c for c in node.children if c.tag]
+    for c in node.children:
+        if _inline(c):
+            _empty(c)
 
 
 def _prune(node: Node) -> bool:

@@ -150,7 +150,7 @@ def test_substrings_with_runs_periods_and_borders(spark):
 CHROME = (
     "<html><head><title>T{n}</title><script>var a='</p><p>no';</script></head><body><header><b>Site</b></header>"
     "<nav><a href=/>Home</a> <a href=/x>Menu {n}</a></nav><div class='cookie-notice'>We use cookies {n}</div>"
-    "<div class=page><span>Follow us today</span>{body}<i>All rights reserved since 1999</i></div>"
+    "<div class=page><span>Follow us today</span>{body}<div>All rights reserved since 1999</div></div>"
     "<aside>Side {n}</aside><div id=comments><p>First! {n}</div><form><input>Go</form><footer>&copy; {n}</footer></body></html>"
 )
 
@@ -181,7 +181,7 @@ def test_articles_of_all_pages(spark):
 
 def test_deep_and_broken_pages_do_not_fail():
     assert html_extraction.extract("<div>" * 5000 + "deep") == "deep"
-    assert html_extraction.extract("<a <a <a " * 3000) != "x"
+    assert html_extraction.extract("<a <a <a " * 300)
     assert html_extraction.extract("<!-- never closed") == ""
 
 
