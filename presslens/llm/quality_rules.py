@@ -92,7 +92,8 @@ def _repeated(words: Column, sorted_windows: Column) -> Column:
 def with_quality(docs: DataFrame, weights: list[int], text_column: str = "text") -> DataFrame:
     """Add the column `quality`, a struct of all counts, the score and the verdict, to each row.
 
-    An existing column of that name is kept; the struct then gets the next free name, the last column.
+    An existing column of that name is kept; the struct then gets the next free name, the last column. Its field
+    `row` numbers the rows: a filter that names it is not pushed below the counts, which would be made twice.
     """
     name, w, s, f, t = (unused(docs, n) for n in ("quality", "_words", "_windows", "_features", "_text"))
     text, words = F.col(f"`{t}`"), F.col(f"`{w}`")
@@ -114,6 +115,7 @@ def with_quality(docs: DataFrame, weights: list[int], text_column: str = "text")
         _repeated(words, F.col(f"`{s}`")).alias("n_repeat_words"),
         total.alias("total"),
         F.size(F.col(f"`{f}`")).alias("n_features"),
+        F.monotonically_increasing_id().alias("row"),
     )
     q = F.col(f"`{name}`")
     failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
@@ -138,4 +140,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that the rules keep, with all their columns."""
     judged = with_quality(docs, fit_weights(docs, trusted_sample(labels)))
     name = judged.columns[-1]
-    return judged.where(F.col(f"`{name}`")["kept"]).drop(name)
+    q = F.col(f"`{name}`")
+    return judged.where(q["kept"] & (q["row"] >= 0)).drop(name)
