@@ -11,9 +11,9 @@ Candidates. In a group of classes with a common prefix shingle the first one is
 pass the length and positional filters. Pairs are made distinct, pass the suffix filter (an upper bound of the
 overlap from counts of shingles per part of the hash range), and are verified once on the whole sets. Links
 are merged into components. A class that has met its group leaves it; a group whose classes are all in one
-component needs no more pairs, for those could not change a component. This goes on until no group is left; so no
-group's pairs are ever expanded, and no link between components is lost. When few pairs remain, they are
-all made at once.
+component needs no more pairs, for those could not change a component. After at most `STARS` such rounds
+the classes outside a group's largest component are paired with the classes of other components. So
+the pairs within a large component are never expanded, and no link between components is lost.
 
 Defined results: A-Z are lower-cased; a set of fewer than five words is the whole sequence; a null or
 blank text has no shingles and links with nothing; a null id belongs to no component and joins none; rows that
@@ -39,8 +39,10 @@ OVER, UNDER = 80, 100
 BUCKETS = 1 << 18
 PARTS = 32
 BROADCAST_BYTES = 32 << 20
-# All remaining pairs are made at once if they are at most so many times the rows that make them.
+# The remaining pairs are looked at together if they are at most so many times the rows that make them, or
+# after so many rounds in which each group met its first class.
 AT_ONCE = 8
+STARS = 3
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -239,19 +241,26 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     members = written(_members(rows, written(groups.select("key").distinct(), "keys")), "members")
     links = spark.createDataFrame([], "a long, b long")
     label = spark.createDataFrame([], "key long, component long")
-    while True:
+    for number in range(STARS + 1):
         named = groups.join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
-        ends = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        # Groups of one component are done; the rest go on, each with its smallest row as the first.
-        live = ends.where("low < high").select("shingle", "size")
-        size = live.agg(F.sum("size"), F.sum(F.col("size") * (F.col("size") - 1) / 2)).first()
+        # How many rows of each group lie outside the component that has most of them.
+        shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"))
+        kept = shares.groupBy("shingle").agg(
+            F.sum("c").alias("size"), F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts")
+        )
+        # Groups of one component are done.
+        live = kept.where("parts > 1").select("shingle", "size", F.col("most.c").alias("c"), F.col("most.component").alias("most"))
+        live = written(live, "live")
+        size = live.agg(F.sum("size"), F.sum((F.col("size") - F.col("c")) * F.col("size"))).first()
         if not size[0]:
             return label
-        open_ = written(named.join(live.select("shingle"), "shingle", "left_semi"), "groups")
-        at_once = size[1] <= AT_ONCE * size[0]
-        if at_once:
+        open_ = written(named.join(live.select("shingle", "most"), "shingle"), "groups")
+        last = number == STARS or size[1] <= AT_ONCE * size[0]
+        if last:
+            # Rows outside the largest component against all of other components; two that are both outside, once.
             two = open_.select("shingle", *(F.col(c).alias(d) for c, d in (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"))))
-            pairs = open_.withColumnRenamed("key", "a").join(two, "shingle").where("a < b and component <> other")
+            outside = open_.where("component <> most").withColumnRenamed("key", "a")
+            pairs = outside.join(two, "shingle").where("component <> other and (other = most or a < b)")
         else:
             firsts = open_.groupBy("shingle").agg(F.min(F.struct("key", "n", "at", "component")).alias("f"))
             first = firsts.select("shingle", F.col("f.key").alias("b"), F.col("f.n").alias("m"), F.col("f.at").alias("bt"), F.col("f.component").alias("other"))
@@ -259,7 +268,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         found = written(_linked(written(_passing(pairs), "pairs"), members), "links")
         links = links.unionByName(found)
         label = components(links)
-        if at_once:
+        if last:
             return label
         groups = open_.join(first.select("shingle", "b"), "shingle").where("key <> b").select("shingle", "key", "n", "at")
 
