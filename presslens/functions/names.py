@@ -65,7 +65,7 @@ def capitalize_except_and(name: Column) -> Column:
     words = F.transform(
         F.split(name, " ", -1),
         lambda w: F.when(w == "and", w).otherwise(
-            F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1_000_000)))
+            F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))
         ),
     )
     return F.array_join(words, " ")
@@ -85,8 +85,12 @@ def without_number_suffix(title: Column) -> Column:
 
 
 def python_literal_to_json(text: Column) -> Column:
-    """Rewrite the bare words of a printed Python struct so that `from_json` can read it."""
+    """Rewrite the bare words of a printed Python struct so that `from_json` can read it.
+
+    The text is cut into quoted strings and what lies between them; strings are left as they are.
+    """
     swaps = {"None": "null", "True": "true", "False": "false"}
-    return reduce(
-        lambda c, w: F.regexp_replace(c, rf"(?<=[:\[,]\s?){w}(?=\s*[,}}\]])", swaps[w]), swaps, text
-    )
+    pieces = F.regexp_extract_all(text, F.lit(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+|['"]"""), F.lit(0))
+    rewritten = lambda c: reduce(lambda x, w: F.regexp_replace(x, rf"\b{w}\b", swaps[w]), swaps, c)
+    bare = lambda c: F.when(c.startswith("'") | c.startswith('"'), c).otherwise(rewritten(c))
+    return F.array_join(F.transform(pieces, bare), "")

@@ -32,9 +32,14 @@ def measure_columns(keyword_ids: list[str]) -> list[str]:
     return [*columns, ANY_KEYWORD]
 
 
+def _grouped(sets: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Rows that have all group keys; others belong to no row of a published table."""
+    return sets.dropna(subset=list(by)) if by else sets
+
+
 def location_counts(sets: DataFrame, by: tuple[str, ...] = ("date",)) -> DataFrame:
     """Articles per group and location."""
-    places = sets.select(*by, F.explode("locations").alias("location"))
+    places = _grouped(sets, by).select(*by, F.explode("locations").alias("location"))
     return places.groupBy(*by, "location").agg(F.count("*").alias(ARTICLES))
 
 
@@ -44,7 +49,7 @@ def measure_counts(sets: DataFrame, measures, by: tuple[str, ...] = ("date",)) -
     The exploded rows are the (place, measure) cells of one article, bounded by the dictionaries; they
     are summed up map-side, so the shuffle carries at most one row per task and result cell.
     """
-    places = sets.select(*by, F.explode("locations").alias("location"), measures.alias("_measures"))
+    places = _grouped(sets, by).select(*by, F.explode("locations").alias("location"), measures.alias("_measures"))
     cells = places.select(*by, "location", F.explode("_measures").alias("measure"))
     return cells.groupBy(*by, "location", "measure").agg(F.count("*").alias("n"))
 

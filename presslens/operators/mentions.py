@@ -80,6 +80,8 @@ def spelling_hits(
     """
     if match == "tokenized":
         variants = tokenized_variants(variants)
+    # Null and empty spellings occur in no text; both ways below would treat them differently.
+    variants = variants.where("variant <> ''")
     keys = ["variant", "lang"] if by_lang else ["variant"]
     kept = list(dict.fromkeys([*keep, *keys[1:]]))
     names = variants.select(*keys, "kind", "entity_id").distinct()

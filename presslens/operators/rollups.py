@@ -153,4 +153,4 @@ def display_names(variants: DataFrame, overrides: DataFrame) -> DataFrame:
 
 def share_over(df: DataFrame, value: str, by: list[str]) -> Column:
     """Value over its sum in a small, already aggregated table."""
-    return F.col(value).cast("double") / F.sum(value).over(Window.partitionBy(*by)).cast("double")
+    return F.try_divide(F.col(value).cast("double"), F.sum(value).over(Window.partitionBy(*by)).cast("double"))

@@ -54,15 +54,15 @@ def result_check(found: DataFrame) -> DataFrame:
 
 
 def top_sources(found: DataFrame, k: int = 100) -> DataFrame:
-    """The k sources with most articles, each with the total over all sources.
+    """The k sources with most articles, each with the total over all articles, those without a source included.
 
     The total is one more row of the same aggregation and always comes first, so that only k + 1 rows
     meet in one task.
     """
     counted = (
-        found.where(F.col("source").isNotNull())
-        .rollup("source")
+        found.rollup("source")
         .agg(F.count("*").alias("n_articles"), F.grouping("source").alias("_all"))
+        .where("_all = 1 OR source IS NOT NULL")
     )
     first = counted.orderBy(F.desc("_all"), F.desc("n_articles"), "source").limit(k + 1)
     total = F.max("n_articles").over(Window.partitionBy(F.lit(0)))
@@ -105,9 +105,10 @@ def overlap_estimate(sets: DataFrame, countries: list[str]) -> DataFrame:
         F.count_if(F.col("_w") > 0).alias("combined"),
         F.sum("_a").alias("all_levels"),
     )
-    ratio = F.col("separate").cast("double") / F.col("combined").cast("double")
+    # Null where no article names a country.
+    ratio = F.try_divide(F.col("separate").cast("double"), F.col("combined").cast("double"))
     return totals.withColumns(
-        {"overlap_share": ratio - 1.0, "corrected_total": F.round(F.col("all_levels") / ratio)}
+        {"overlap_share": ratio - 1.0, "corrected_total": F.round(F.try_divide(F.col("all_levels"), ratio))}
     )
 
 
@@ -123,7 +124,7 @@ def date_slices(spark, start: str, end: str, step: str | None) -> DataFrame:
         return one.select(first.alias("slice_start"), last.alias("slice_end"))
     every = F.expr({"d": "interval 1 day", "m": "interval 1 month", "y": "interval 1 year"}[step])
     starts = F.filter(F.sequence(first, last, every), lambda d: d < last)
-    ends = F.concat(F.slice(starts, 2, 10_000_000), F.array(last))
+    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(last))
     return one.select(F.inline(F.arrays_zip(starts.alias("slice_start"), ends.alias("slice_end"))))
 
 

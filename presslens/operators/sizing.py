@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Rows up to which a dictionary-like side is broadcast; beyond it Spark shuffles the join.
 BROADCAST_ROWS = 200_000
+# Text that `spread` may deal out.
+SPREAD_BYTES = 256 << 20
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -23,11 +25,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan with fewer splits than cores one partition per core.
 
-    Word counting is bound by CPU, so one unsplittable file must not become one task. A scan that
-    already has enough splits is returned as it is: on large inputs no text is ever shuffled.
+    Word counting is bound by CPU, so one small unsplittable file must not become one task. Inputs above
+    `SPREAD_BYTES` are returned as they are: no more than that is ever dealt out.
     """
     if df.isStreaming:
         return df
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,27 +23,62 @@ def read_articles_csv(spark: SparkSession, paths, schema: T.StructType = ARTICLE
     A multi-line CSV file cannot be split, so large collections should be landed once as Parquet.
     Columns are matched by header, so files may lack some or order them differently.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(paths)
-    )
-    return typed(raw.withColumn("file", file_name()), schema).drop("userHasPermissions")
+    read = read_csv_by_header(spark, paths, {"multiLine": True, "escape": '"'})
+    return typed(read, schema).drop("userHasPermissions")
+
+
+def read_csv_by_header(spark: SparkSession, paths, options: dict | None = None, listing: dict | None = None) -> DataFrame:
+    """CSV files with their name in `file`, columns matched by header whatever order a file has them in.
+
+    Files with the same header line are read together; the driver gets one row per file. Columns that a file
+    lacks are null. `listing` has options that choose files.
+    """
+    lines = spark.read.options(**listing or {}).text(paths).where("_metadata.file_block_start = 0")
+    numbered = lines.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("number"))
+    first = numbered.groupBy("path").agg(F.min_by("value", "number").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("path").collect():
+        groups.setdefault(row["header"].strip(), []).append(unquote(row["path"]))
+    reader = spark.read.option("header", True).options(**options or {})
+    if not groups:
+        return reader.options(**listing or {}).csv(paths).withColumn("file", file_name())
+    parts = [reader.csv(files).withColumn("file", file_name()) for files in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the columns that the schema names; others, and those the file lacks, are left alone."""
+    """Cast the columns that the schema names; others, and those the file lacks, are left alone.
+
+    A value that cannot be cast becomes null; `cast_rejects` counts them.
+    """
     types = {f.name: f.dataType for f in schema.fields}
-    return raw.select(*[F.col(c).cast(types[c]) if c in types else F.col(c) for c in raw.columns])
+    return raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
+
+
+def cast_rejects(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """How many values of each column of the schema `typed` cannot cast: one row, one column each."""
+    known = [f for f in schema.fields if f.name in raw.columns]
+    lost = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in known]
+    return raw.agg(*lost)
 
 
 def read_articles_json(spark: SparkSession, paths, schema: T.StructType = ARTICLES_JSON) -> DataFrame:
-    """Archived articles, one object per line, gzip or plain; broken lines are dropped.
+    """Archived articles, one object per line, gzip or plain; `json_rejects` has the broken lines.
 
     A gzip file is read by one task, so an archive should come in many files.
     """
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths)
+    return _json_lines(spark, paths, schema).where("_parsed._corrupt_record IS NULL").select("_parsed.*").drop("_corrupt_record")
+
+
+def json_rejects(spark: SparkSession, paths, schema: T.StructType = ARTICLES_JSON) -> DataFrame:
+    """Lines (file, line) that are no object of the schema."""
+    return _json_lines(spark, paths, schema).where("_parsed._corrupt_record IS NOT NULL").select("file", "line")
+
+
+def _json_lines(spark: SparkSession, paths, schema: T.StructType) -> DataFrame:
+    whole = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    lines = spark.read.text(paths).select(file_name().alias("file"), F.col("value").alias("line")).where("trim(line) <> ''")
+    return lines.withColumn("_parsed", F.from_json("line", whole, {"columnNameOfCorruptRecord": "_corrupt_record"}))
 
 
 def flatten(df: DataFrame, separator: str = ".") -> DataFrame:

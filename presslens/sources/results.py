@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslens.sources.articles import read_csv_by_header
+
 
 def read_daily_files(spark: SparkSession, path: str) -> DataFrame:
     """All daily CSV files below a folder in one table, columns matched by header."""
-    return (
-        spark.read.option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
-    )
+    listing = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
+    return read_csv_by_header(spark, path, listing=listing).drop("file")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -41,10 +41,14 @@ def distinct_articles(articles: DataFrame, key: str = "url") -> DataFrame:
 
 
 def stream_articles(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """Stream of article files: each file that appears is read once, with its name."""
+    """Stream of article files: each file that appears is read once, with its name.
+
+    A file whose header is not the schema fails the batch before it is marked as read.
+    """
     raw = (
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", True)
         .option("escape", '"')
         .csv(folder)
@@ -57,14 +61,14 @@ def daily_of_file_batch(
 ) -> DataFrame:
     """Daily rows of the articles of one batch, all languages in one pass.
 
-    `variants` has a `lang` column, and an article meets only the spellings of its file's language.
+    `variants` has a `lang` column, and an article meets only the spellings of its file's language. Every
+    row with an `article_id` of its own is an article, whatever its address; rows that are not numbered are here.
     """
+    if "article_id" not in batch.columns:
+        batch = batch.withColumn("article_id", F.monotonically_increasing_id())
     known = with_file_language(batch)
     codes = F.when(F.col("language") == "English", "eng").otherwise("ara")
-    # The address alone need not be unique across files; the pair is.
-    articles = known.select(
-        F.xxhash64("file", "url").alias("article_id"), "date", codes.alias("lang"), "body"
-    )
+    articles = known.select("article_id", "date", codes.alias("lang"), "body")
     sets = M.entity_sets(articles, variants, ("date", "lang"), by_lang=True)
     return D.daily_summary(
         articles,
@@ -95,9 +99,14 @@ def run_update(
     written = []
 
     def handle(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
+        # The files are parsed once; the numbers of the rows are fixed by writing them.
+        landed = f"{daily_path.rstrip('/')}.landed/batch={number}"
+        numbered = typed(batch, schema).withColumn("article_id", F.monotonically_increasing_id())
+        numbered.write.mode("overwrite").parquet(landed)
+        articles = spark.read.schema(numbered.schema).parquet(landed)
+        if articles.isEmpty():
             return
-        rows = daily_of_file_batch(typed(batch, schema), variants, keyword_ids, location_ids)
+        rows = daily_of_file_batch(articles, variants, keyword_ids, location_ids)
         rows.write.mode("overwrite").parquet(f"{daily_path}/batch={number}")
         written.append(number)
 
