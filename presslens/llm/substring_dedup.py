@@ -220,7 +220,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     asked = rows.join(small(told, BROADCAST_BYTES), "key", "left").where(~F.coalesce("copied", F.lit(False)))
     windows = written(_windows(asked), "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    first = first.where("first < last").select("h1", "h2", "first")
+    # Written, so that it can be broadcast if it is small and else joined in a stage of its own, which AQE can split.
+    first = small(written(first.where("first < last").select("h1", "h2", "first"), "first"), BROADCAST_BYTES)
     later = windows.join(first, ["h1", "h2"]).where(F.col("ord") > F.col("first"))
     starts = later.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("at"))
     at = F.col("at")
