@@ -244,7 +244,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame) -> Chain:
     counts = dict(known.groupBy("toxic").count().collect())
     prior = counts[1] / counts[0] if counts.get(0) and counts.get(1) else None
     rows = docs.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "doc_id")
-    rows = rows.select("doc_id", "text", "toxic").coalesce(1)
+    # Brought together by a shuffle, so that the documents are read in many tasks.
+    rows = rows.select("doc_id", "text", "toxic").repartition(1)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pickle
