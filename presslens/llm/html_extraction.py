@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from presslens.llm.common import small, written
 
 SAMPLE = 8
+# Parts of a host in which its sample is sought first.
+PARTS = 16
 # From fewer different pages no text is taken for template.
 LEAST = 4
 BROADCAST_BYTES = 32 << 20
@@ -361,8 +363,12 @@ def host_of(url: Column) -> Column:
 def induce_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper) of the hosts of `pages` (host, html) that have a template."""
     hashed = pages.where(F.length("html") > 0).select("host", F.xxhash64("html").alias("page"))
-    first = Window.partitionBy("host").orderBy("page")
-    picked = hashed.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE).drop("n")
+    # The smallest hashes of each part of a host first, so that a hot host's pages meet in many tasks.
+    picked = hashed.distinct().withColumn("part", F.pmod("page", F.lit(PARTS)))
+    for group in (["host", "part"], ["host"]):
+        first = Window.partitionBy(*group).orderBy("page")
+        picked = picked.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE).drop("n")
+    picked = picked.drop("part")
     picked = small(written(picked, "sample"), BROADCAST_BYTES)
     rows = pages.withColumn("page", F.xxhash64("html")).join(picked, ["host", "page"])
     sample = rows.groupBy("host", "page").agg(F.first("html").alias("html"))
