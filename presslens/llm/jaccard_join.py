@@ -13,7 +13,9 @@ overlap from counts of shingles per part of the hash range), and are verified on
 are merged into components. A class that has met its group leaves it; a group whose classes are all in one
 component needs no more pairs, for those could not change a component. After at most `STARS` such rounds
 the classes outside a group's largest component are paired with the classes of other components. So
-the pairs within a large component are never expanded, and no link between components is lost.
+the pairs within a large component are never expanded, and no link between components is lost. Two classes that
+have not met yet still share all their groups, and must share at least t prefix shingles to link; so a pair
+is made only in a group that has t - 1 larger ones of each of the two classes before it, which spares the largest groups.
 
 Defined results: A-Z are lower-cased; a set of fewer than five words is the whole sequence; a null or
 blank text has no shingles and links with nothing; a null id belongs to no component and joins none; rows that
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.llm import tokens
@@ -229,6 +231,15 @@ def _passing(pairs: DataFrame) -> DataFrame:
     return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _least_common(n: Column, m: Column) -> Column:
+    """How many prefix shingles two sets of n and m members share at least if they link.
+
+    Of the set whose prefix ends first, common shingles lie in both prefixes or behind its own.
+    """
+    behind = F.ceil(OVER * F.greatest(n, m) / F.lit(UNDER)) - 1
+    return F.ceil(OVER * (n + m) / F.lit(UNDER + OVER)) - behind
+
+
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(key, component) of the classes that link with another class."""
     rows, spark = _texts(docs), docs.sparkSession
@@ -254,13 +265,16 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         size = live.agg(F.sum("size"), F.sum((F.col("size") - F.col("c")) * F.col("size"))).first()
         if not size[0]:
             return label
-        open_ = written(named.join(live.select("shingle", "most"), "shingle"), "groups")
+        open_ = written(named.join(live.select("shingle", "most", "size"), "shingle"), "groups")
         last = number == STARS or size[1] <= AT_ONCE * size[0]
         if last:
             # Rows outside the largest component against all of other components; two that are both outside, once.
-            two = open_.select("shingle", *(F.col(c).alias(d) for c, d in (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"))))
-            outside = open_.where("component <> most").withColumnRenamed("key", "a")
+            placed = open_.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("size"), "shingle")))
+            renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"))
+            two = placed.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
+            outside = placed.where("component <> most").withColumnRenamed("key", "a")
             pairs = outside.join(two, "shingle").where("component <> other and (other = most or a < b)")
+            pairs = pairs.where(F.least("place", "spot") >= _least_common(F.col("n"), F.col("m")))
         else:
             firsts = open_.groupBy("shingle").agg(F.min(F.struct("key", "n", "at", "component")).alias("f"))
             first = firsts.select("shingle", F.col("f.key").alias("b"), F.col("f.n").alias("m"), F.col("f.at").alias("bt"), F.col("f.component").alias("other"))
