@@ -8,8 +8,8 @@ Prefixes. Shingles are ordered rare first, by the number of documents in their f
 n - ceil(0.8 n) + 1 of each. Prefix shingles that only one class has are dropped.
 
 Candidates. In a group of classes with a common prefix shingle the first one is paired with the others that
-pass the length and positional filters. Pairs are made distinct, pass the suffix filter (an upper bound of the
-overlap from counts of shingles per part of the hash range), and are verified once on the whole sets. Links
+pass the length, positional and suffix filters; the last one is an upper bound of the overlap from bitmaps of the
+whole sets. Pairs are made distinct and are verified once on the whole sets. Links
 are merged into components. A class that has met its group leaves it; a group whose classes are all in one
 component needs no more pairs, for those could not change a component. After at most `STARS` such rounds
 the classes outside a group's largest component are paired with the classes of other components. So
@@ -39,7 +39,8 @@ SHINGLE = 5
 # Similarity as a fraction of whole numbers, so that the bound is exact.
 OVER, UNDER = 80, 100
 BUCKETS = 1 << 18
-PARTS = 32
+# Words of 64 bits in the bitmap of a set.
+SIGNS = 16
 BROADCAST_BYTES = 32 << 20
 # The remaining pairs are looked at together if they are at most so many times the rows that make them, or
 # after so many rounds in which each group met its first class.
@@ -149,36 +150,38 @@ def _prefixes(rows: DataFrame, frequencies) -> DataFrame:
 
 
 def _members(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, members, parts) of the wanted classes: their shingles and how many fall into each part."""
+    """(key, members, signs) of the wanted classes: their shingles, and a bitmap of these of fixed size."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tokens.parts(batches, 1):
             sets = [s for s in _sets(batch.column(1)) if len(s)]
-            counts = [np.bincount((s >> np.uint64(59)).astype(int), minlength=PARTS).astype("<i4") for s in sets]
+            signs = np.zeros((len(sets), SIGNS), np.uint64)
+            for row, s in zip(signs, sets):
+                np.bitwise_or.at(row, (s >> np.uint64(32)) % np.uint64(SIGNS), np.uint64(1) << (s >> np.uint64(58)))
+            ends = np.arange(len(sets) + 1, dtype=np.int32) * SIGNS
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_key(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([c.tobytes() for c in counts], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(signs.ravel().view(np.int64))),
                 ],
-                ["key", "members", "parts"],
+                ["key", "members", "signs"],
             )
 
-    made = rows.mapInArrow(collect, "key long, members binary, parts binary")
+    made = rows.mapInArrow(collect, "key long, members binary, signs array<long>")
     found = made.join(small(wanted, BROADCAST_BYTES), "key", "left_semi")
-    return found.groupBy("key").agg(F.first("members").alias("members"), F.first("parts").alias("parts"))
+    return found.groupBy("key").agg(F.first("members").alias("members"), F.first("signs").alias("signs"))
 
 
-def _linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link; the suffix filter goes first, on counts only."""
+def _bounded(n: Column, m: Column, x: str, y: str) -> Column:
+    """The suffix filter: a bit that one bitmap has and the other lacks is a shingle that is not common."""
+    lacks = lambda p, q: sum(F.bit_count(F.get(p, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(q, F.lit(i))))) for i in range(SIGNS))
+    least = F.ceil(OVER * (n + m) / F.lit(UNDER + OVER))
+    return (n - lacks(x, y) >= least) & (m - lacks(y, x) >= least)
 
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(one, "<i4"), np.frombuffer(two, "<i4")
-                keep.append(np.minimum(x, y).sum() >= _least_overlap(int(x.sum()), int(y.sum())))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+def _linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,13 +192,9 @@ def _linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
                 keep.append(common >= _least_overlap(len(x), len(y)))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    def both(rows: DataFrame, column: str) -> DataFrame:
-        one = members.select(F.col("key").alias("a"), F.col(column).alias("x"))
-        two = members.select(F.col("key").alias("b"), F.col(column).alias("y"))
-        return rows.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-
-    left = both(pairs, "parts").mapInArrow(bounded, "a long, b long")
-    return both(left, "members").mapInArrow(verified, "a long, b long")
+    one = members.select(F.col("key").alias("a"), F.col("members").alias("x"))
+    two = members.select(F.col("key").alias("b"), F.col("members").alias("y"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -221,13 +220,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _passing(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) that pass the length and positional filters."""
+    """Distinct pairs (a, b) that pass the length, positional and suffix filters."""
     n, m = F.col("n"), F.col("m")
     least = F.ceil(OVER * (n + m) / F.lit(UNDER + OVER))
     # What is left behind the common shingle bounds the overlap, this shingle and those before it included.
     first = F.least("at", "bt")
     bound = 1 + first + F.least(n - F.col("at") - 1, m - F.col("bt") - 1)
-    kept = pairs.where((UNDER * F.least(n, m) >= OVER * F.greatest(n, m)) & (bound >= least))
+    close = (UNDER * F.least(n, m) >= OVER * F.greatest(n, m)) & (bound >= least)
+    kept = pairs.where(close & _bounded(n, m, "signs", "marks"))
     return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -250,6 +250,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     common = written(ends.where("low < high").select("shingle"), "shingles")
     groups = written(prefixes.join(small(common, BROADCAST_BYTES), "shingle", "left_semi"), "groups")
     members = written(_members(rows, written(groups.select("key").distinct(), "keys")), "members")
+    signs = members.select("key", "signs")
     links = spark.createDataFrame([], "a long, b long")
     label = spark.createDataFrame([], "key long, component long")
     for number in range(STARS + 1):
@@ -270,7 +271,8 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         if last:
             # Rows outside the largest component against all of other components; two that are both outside, once.
             placed = open_.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("size"), "shingle")))
-            renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"))
+            placed = placed.join(signs, "key")
+            renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"), ("signs", "marks"))
             two = placed.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
             outside = placed.where("component <> most").withColumnRenamed("key", "a")
             pairs = outside.join(two, "shingle").where("component <> other and (other = most or a < b)")
@@ -278,7 +280,9 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         else:
             firsts = open_.groupBy("shingle").agg(F.min(F.struct("key", "n", "at", "component")).alias("f"))
             first = firsts.select("shingle", F.col("f.key").alias("b"), F.col("f.n").alias("m"), F.col("f.at").alias("bt"), F.col("f.component").alias("other"))
-            pairs = open_.withColumnRenamed("key", "a").join(first, "shingle").where("a <> b and component <> other")
+            marks = signs.select(F.col("key").alias("b"), F.col("signs").alias("marks"))
+            signed = open_.join(signs, "key").withColumnRenamed("key", "a")
+            pairs = signed.join(first.join(marks, "b"), "shingle").where("a <> b and component <> other")
         found = written(_linked(written(_passing(pairs), "pairs"), members), "links")
         links = links.unionByName(found)
         label = components(links)
