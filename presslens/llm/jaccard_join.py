@@ -254,7 +254,10 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     links = spark.createDataFrame([], "a long, b long")
     label = spark.createDataFrame([], "key long, component long")
     for number in range(STARS + 1):
-        named = groups.join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        # Before the first links each class is a component; afterwards the look-up is made once a round.
+        named = groups.withColumn("component", F.col("key"))
+        if number:
+            named = written(groups.join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "named")
         # How many rows of each group lie outside the component that has most of them.
         shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"))
         kept = shares.groupBy("shingle").agg(
@@ -296,7 +299,7 @@ def join_report(docs: DataFrame) -> DataFrame:
     classes = written(_classes(_texts(docs)), "classes")
     label = class_components(docs, classes)
     # Classes without a link to another are components of their own.
-    named = classes.join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    named = written(classes.join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "named")
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = named.where("n > 0").join(least, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
