@@ -84,6 +84,11 @@ def without_number_suffix(title: Column) -> Column:
     return F.regexp_replace(title, r"\s*\(\d+\)", "")
 
 
+def without_all_sources(source: Column) -> Column:
+    """Drop the ` - all sources` that a provider adds to the name of a group."""
+    return F.replace(source, F.lit(" - all sources"), F.lit(""))
+
+
 def python_literal_to_json(text: Column) -> Column:
     """Rewrite the bare words of a printed Python struct so that `from_json` can read it.
 

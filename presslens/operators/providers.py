@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions.names import without_number_suffix
+from presslens.functions.names import without_all_sources, without_number_suffix
 from presslens.operators import ranking
 from presslens.operators.rollups import share_over
 
@@ -47,8 +47,9 @@ def match_sources(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Flag the sources of each provider that the other has, by address, by name, by either.
 
     Provider a has (title, uri, frequency) with numbered titles, provider b (source, uri,
-    document_count).
+    document_count), where a name may say that it stands for all sources of a group.
     """
+    b = b.withColumn("source", without_all_sources(F.col("source")))
     titles = a.withColumn("_plain", without_number_suffix(F.col("title")))
     left = flag_in(titles, "uri", b, "uri", "uri_match")
     left = flag_in(left, "_plain", b, "source", "title_match").drop("_plain")

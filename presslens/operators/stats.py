@@ -13,6 +13,11 @@ def value_counts(df: DataFrame, columns: list[str], name: str = "n") -> DataFram
     return df.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias(name))
 
 
+def lowest(df: DataFrame, column: str, ties: list[str], k: int = 20) -> DataFrame:
+    """The k rows with the smallest values; rows without a value come last, equal ones by `ties`."""
+    return df.orderBy(F.asc_nulls_last(column), *ties).limit(k)
+
+
 def length_quantiles(df: DataFrame, by: str, column: str, shares: list[float]) -> DataFrame:
     """Mean, extremes and exact linear quantiles per group.
 

@@ -250,3 +250,11 @@ def paywall_by_source(spark, directory):
 def paywall_top200(spark, directory):
     scored = paywall_table(spark, directory).select("article_id", "paywall_score")
     return scored.orderBy(F.desc("paywall_score"), "article_id").limit(200)
+
+
+@query(
+    "lowest_paywall_scores",
+    f"WITH {SQL_PAYWALL} SELECT * FROM paywall ORDER BY paywall_score NULLS LAST, article_id LIMIT 20",
+)
+def lowest_paywall_scores(spark, directory):
+    return S.lowest(paywall_table(spark, directory), "paywall_score", ["article_id"])

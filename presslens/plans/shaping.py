@@ -118,7 +118,7 @@ def jsonl_flatten_by_year(spark, directory):
 
 # One small export per supplier, as a downloaded file holds it: title, count, a line without use, column
 # names, two data lines, fourteen footer lines.
-_FOOTER_FILL = [f"Field {i},value {i}" for i in range(9)]
+_FOOTER_FILL = [f"Field {i},,value {i}" for i in range(9)]
 
 
 @query(
@@ -127,7 +127,8 @@ _FOOTER_FILL = [f"Field {i},value {i}" for i in range(9)]
     SELECT s_suppkey, CAST(position AS INTEGER) AS position, lower(s_name) || CASE position WHEN 0 THEN ', daily' ELSE '' END AS source,
       CASE position WHEN 0 THEN 'https://www.' || s_nationkey || '.example/x' END AS website,
       CAST(s_suppkey + position AS VARCHAR) AS document_count, 'eng' AS lang, 'middle_east_' || s_nationkey AS region,
-      '06162024' AS from_date, '06302024' AS to_date, CAST(NULL AS VARCHAR) AS query_text,
+      '06162024' AS from_date, '06302024' AS to_date,
+      CASE WHEN s_suppkey % 4 = 0 THEN 'bread, Text, wheat ' || s_suppkey END AS query_text,
       CAST(1000 + s_suppkey AS BIGINT) AS results, s_suppkey % 10 <> 3 AS counts_agree
     FROM two""",
 )
@@ -142,11 +143,11 @@ def export_envelope(spark, directory):
         F.lit("Source,Source Website,Document Count"),
         F.concat(F.lit('"'), name, F.lit(', daily",https://www.'), "s_nationkey", F.lit(".example/x,"), key),
         F.concat(name, F.lit(",,"), key + 1),
-        F.lit("Language,English"),
-        F.concat(F.lit("Region,Middle East "), "s_nationkey"),
-        F.lit("Date,06/16/2024 to 06/30/2024"),
-        F.lit("Text,"),
-        F.concat(F.lit('Results Found,"'), F.format_number(1000 + key, 0), F.lit('"')),
+        F.lit("Language,,English"),
+        F.concat(F.lit("Region,,Middle East "), "s_nationkey"),
+        F.lit("Date,,06/16/2024 to 06/30/2024"),
+        F.concat(F.lit("Text,,"), F.when(key % 4 == 0, F.concat(F.lit('"bread, Text, wheat '), key, F.lit('"'))).otherwise("")),
+        F.concat(F.lit('Results Found,,"'), F.format_number(1000 + key, 0), F.lit('"')),
         *[F.lit(x) for x in _FOOTER_FILL],
     ]
     files = table(spark, directory, "supplier").select("s_suppkey", F.concat_ws("\n", *lines).alias("text"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from presslens.schemas import EXPORT_LINE
 
@@ -11,6 +12,8 @@ FOOTER_LINES = 14
 # Of the lines that are not blank: a title, the line with the result count, a line without use, the
 # column names, then the data.
 COUNT_LINE, FIRST_DATA_LINE = 2, 5
+# A footer line has its label and its value in the columns of these names.
+LABEL_COLUMN, VALUE_COLUMN = "Source", "Document Count"
 
 
 def _digits(text: Column) -> Column:
@@ -30,17 +33,27 @@ def parse_export(files: DataFrame, text: str = "text", schema: str = EXPORT_LINE
     n = F.size("_lines")
     n_data = F.greatest(n - FOOTER_LINES - FIRST_DATA_LINE + 1, F.lit(0))
     footer_start = F.greatest(n - FOOTER_LINES + 1, F.lit(1))
+    # Every line has the columns that the column line names.
+    width = len(T.StructType.fromDDL(schema))
+    texts = F.lit(", ".join(f"c{i} STRING" for i in range(width)))
+
+    def fields(line):
+        row = F.from_csv(line, texts)
+        return F.array(*[row[f"c{i}"] for i in range(width)])
+
+    named = fields(F.try_element_at("_lines", F.lit(FIRST_DATA_LINE - 1)))
     cut = cut.withColumns(
         {
             "_data": F.slice("_lines", F.lit(FIRST_DATA_LINE), n_data),
-            "_footer": F.slice("_lines", footer_start, F.lit(FOOTER_LINES)),
+            "_footer": F.transform(F.slice("_lines", footer_start, F.lit(FOOTER_LINES)), fields),
+            "_label": F.array_position(named, LABEL_COLUMN).cast("int"),
+            "_value": F.array_position(named, VALUE_COLUMN).cast("int"),
         }
     )
 
     def footer(name):
-        line = F.filter("_footer", lambda x: x.startswith(f"{name},"))
-        value = F.substring_index(F.try_element_at(line, F.lit(1)), f"{name},", -1)
-        return F.replace(value, F.lit('"'), F.lit(""))
+        line = F.filter("_footer", lambda x: F.get(x, F.col("_label") - 1) == name)
+        return F.get(F.get(line, F.lit(0)), F.col("_value") - 1)
 
     dates = F.replace(footer("Date"), F.lit("/"), F.lit(""))
     header_results = _digits(F.try_element_at("_lines", F.lit(COUNT_LINE)))

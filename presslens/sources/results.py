@@ -19,6 +19,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).csv(path)
 
 
+def write_by_level(places: DataFrame, path: str, level: str = "adml") -> None:
+    """Save places in one folder per level, in one pass; a reader that asks for a level reads its folder only."""
+    places.write.mode("errorifexists").partitionBy(level).parquet(path)
+
+
 def publish_snapshot(df: DataFrame, folder: str, day: str | None = None) -> str:
     """Write the published table to a folder named after the day, and return its path.
 

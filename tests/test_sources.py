@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from presslens.operators import providers as P
 from presslens.sources import articles as A
 from presslens.sources import dictionaries as D
 from presslens.sources import exports as E
@@ -77,20 +78,20 @@ Sources,,
 Source,Source Website,Document Count
 "Daily, The",https://www.daily.com/x,700
 Agency,,534
-Language,English
-Region,Saudi Arabia
-Date,06/16/2024 to 06/30/2024
-Text,
-Results Found,"1,234"
-A,1
-B,2
-C,3
-D,4
-E,5
-F,6
-G,7
-H,8
-I,9
+Language,,English
+Region,,Saudi Arabia
+Date,,06/16/2024 to 06/30/2024
+Text,,
+Results Found,,"1,234"
+A,,1
+B,,2
+C,,3
+D,,4
+E,,5
+F,,6
+G,,7
+H,,8
+I,,9
 """
 
 
@@ -114,6 +115,17 @@ def test_export_envelope(spark, tmp_path):
     assert name.first()["n"] == "saudi_arabia_06162024_06302024_eng_1234"
 
 
+def test_export_values_stand_under_their_column(spark):
+    swapped = EXPORT.replace("Source,Source Website,Document Count", "Source,Document Count,Source Website")
+    swapped = swapped.replace(",,English", ",English,x").replace(",,06/", ",06/").replace("Text,,", 'Text,"a, Text, b",')
+    swapped = swapped.replace(",,Saudi", ",Saudi").replace(',,"1,234"', ',"1,234"')
+    files = spark.createDataFrame([(swapped,)], "text string")
+    row = E.parse_export(files, schema="source STRING, document_count STRING, website STRING").first()
+    assert (row["lang"], row["region"], row["from_date"], row["query_text"], row["results"]) == (
+        "eng", "saudi_arabia", "06162024", "a, Text, b", 1234,
+    )
+
+
 def test_headlines_get_their_own_meta_line(spark):
     text = '\n'.join(
         [' Bread prices rise ("https://x/1")', "Times, 5, 17 June 2024, 300 words",
@@ -143,3 +155,19 @@ def test_snapshot_is_not_replaced(spark, tmp_path):
     assert R.read_daily_files(spark, path).count() == 3
     with pytest.raises(Exception):
         R.publish_snapshot(frame, str(tmp_path), "2024-07-01")
+
+
+def test_one_folder_per_level(spark, tmp_path):
+    places = spark.createDataFrame([("xa", 0), ("xa_1", 1), ("xa_2", 1), ("xa_1_1", 2)], "id string, adml int")
+    R.write_by_level(places, str(tmp_path / "places"))
+    second = spark.read.parquet(str(tmp_path / "places")).where("adml = 1")
+    assert sorted(r["id"] for r in second.collect()) == ["xa_1", "xa_2"]
+    assert sorted(p.name for p in (tmp_path / "places").glob("adml=*")) == ["adml=0", "adml=1", "adml=2"]
+
+
+def test_group_names_match_without_their_suffix(spark):
+    a = spark.createDataFrame([("agency", None, 3)], "title string, uri string, frequency int")
+    b = spark.createDataFrame([("agency - all sources", None, 5)], "source string, uri string, document_count int")
+    left, right = P.match_sources(a, b)
+    assert left.first()["matched"] == 1 and right.first()["matched"] == 1
+    assert right.first()["source"] == "agency"
