@@ -5,7 +5,8 @@ works on classes, so copies cost nothing.
 
 Prefixes. Shingles are ordered rare first, by the number of documents in their frequency bucket (of
 `BUCKETS`, counted over all documents) and then by hash. Two sets that link share a shingle among the first
-n - ceil(0.8 n) + 1 of each. Prefix shingles that only one class has are dropped.
+n - ceil(0.8 n) + 1 of each. Prefix shingles that only one class has are dropped, and of those that the
+same classes have one stands for all, with their number as its weight.
 
 Candidates. In a group of classes with a common prefix shingle the first one is paired with the others that
 pass the length, positional and suffix filters; the last one is an upper bound of the overlap from bitmaps of the
@@ -15,7 +16,8 @@ component needs no more pairs, for those could not change a component. After at
 the classes outside a group's largest component are paired with the classes of other components. So
 the pairs within a large component are never expanded, and no link between components is lost. Two classes that
 have not met yet still share all their groups, and must share at least t prefix shingles to link; so a pair
-is made only in a group that has t - 1 larger ones of each of the two classes before it, which spares the largest groups.
+is made only in a group with which the weights of the larger ones of each of the two classes add up to t, which
+spares the largest groups.
 
 Defined results: A-Z are lower-cased; a set of fewer than five words is the whole sequence; a null or
 blank text has no shingles and links with nothing; a null id belongs to no component and joins none; rows that
@@ -240,6 +242,18 @@ def _least_common(n: Column, m: Column) -> Column:
     return F.ceil(OVER * (n + m) / F.lit(UNDER + OVER)) - behind
 
 
+def _distinct_groups(groups: DataFrame) -> DataFrame:
+    """The groups (shingle, key, n, at) with different classes, with the number of shingles that each stands for.
+
+    Groups are told apart by 128 bits of the hashes of their keys. Any shingle may stand for the others, since the
+    filters hold at every common one.
+    """
+    marks = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    alike = groups.groupBy("shingle").agg(F.count("*").alias("held"), *marks)
+    stands = alike.groupBy("held", "x0", "x1").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
+    return groups.join(stands.select("shingle", "weight"), "shingle")
+
+
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(key, component) of the classes that link with another class."""
     rows, spark = _texts(docs), docs.sparkSession
@@ -250,6 +264,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     common = written(ends.where("low < high").select("shingle"), "shingles")
     groups = written(prefixes.join(small(common, BROADCAST_BYTES), "shingle", "left_semi"), "groups")
     members = written(_members(rows, written(groups.select("key").distinct(), "keys")), "members")
+    groups = written(_distinct_groups(groups), "groups")
     signs = members.select("key", "signs")
     links = spark.createDataFrame([], "a long, b long")
     label = spark.createDataFrame([], "key long, component long")
@@ -273,7 +288,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         last = number == STARS or size[1] <= AT_ONCE * size[0]
         if last:
             # Rows outside the largest component against all of other components; two that are both outside, once.
-            placed = open_.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("size"), "shingle")))
+            placed = open_.withColumn("place", F.sum("weight").over(Window.partitionBy("key").orderBy(F.desc("size"), "shingle")))
             placed = placed.join(signs, "key")
             renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"), ("signs", "marks"))
             two = placed.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
@@ -291,7 +306,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         label = components(links)
         if last:
             return label
-        groups = open_.join(first.select("shingle", "b"), "shingle").where("key <> b").select("shingle", "key", "n", "at")
+        groups = open_.join(first.select("shingle", "b"), "shingle").where("key <> b").select("shingle", "key", "n", "at", "weight")
 
 
 def join_report(docs: DataFrame) -> DataFrame:
