@@ -274,14 +274,15 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         if number:
             named = written(groups.join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "named")
         # How many rows of each group lie outside the component that has most of them.
-        shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"))
+        shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"), F.min("weight").alias("weight"))
         kept = shares.groupBy("shingle").agg(
-            F.sum("c").alias("size"), F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts")
+            F.sum("c").alias("size"), F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"), F.min("weight").alias("weight")
         )
         # Groups of one component are done.
-        live = kept.where("parts > 1").select("shingle", "size", F.col("most.c").alias("c"), F.col("most.component").alias("most"))
+        live = kept.where("parts > 1").select("shingle", "size", "weight", F.col("most.c").alias("c"), F.col("most.component").alias("most"))
         live = written(live, "live")
-        size = live.agg(F.sum("size"), F.sum((F.col("size") - F.col("c")) * F.col("size"))).first()
+        rows_of = F.col("size") * F.col("weight")
+        size = live.agg(F.sum(rows_of), F.sum((F.col("size") - F.col("c")) * rows_of)).first()
         if not size[0]:
             return label
         open_ = written(named.join(live.select("shingle", "most", "size"), "shingle"), "groups")
