@@ -1,12 +1,14 @@
 """Each operator against SQL, a brute-force version, an exact round trip or held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from harness import compare, connect
 
@@ -376,6 +378,60 @@ def test_leaks_with_substitutions(spark):
     assert clean == set(range(73)) - set(range(20)) - {70}
 
 
+def test_short_items_with_words_replaced_near_both_ends(spark):
+    rng = random.Random(7)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items, texts, whole = [], [], []
+    for n in range(7, 21):
+        most = n // 5
+        places = [{0}, {n - 1}, {2}, {n - 3}, {n // 2}]
+        places += [{2, n - 3}, {0, n - 1}, {0, 1}, {n - 4, n - 2}, {2, n // 2, n - 2}, {3, 7, 11, n - 1}]
+        for replaced in (p for p in places if len(p) <= most):
+            items.append(some(n))
+            inside = len(items) % 2 * 20
+            texts.append(some(inside) + ["other" if i in replaced else w for i, w in enumerate(items[-1])] + some(inside))
+            whole.append((len(items) - 1, len(items) - 1, inside, inside + n, 0, n, n - len(replaced)))
+        items.append(some(n))
+        texts.append(["other" if i <= most else w for i, w in enumerate(items[-1])][:n])
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    docs = made(spark, [" ".join(t) for t in texts])
+    got = sorted(map(tuple, decontamination.overlaps(docs, benchmark).collect()))
+    assert [g for g in got if g[:2] in {w[:2] for w in whole}] == whole
+    # One word more replaced is too much for a whole item; a part of a longer one may still count.
+    assert all(len(items[g[1]]) > 13 for g in got if g not in whole)
+    clean = {r["doc_id"] for r in decontamination.decontaminate(docs, benchmark).collect()}
+    assert not clean & {w[0] for w in whole}
+
+
+def test_stretches_like_brute_force():
+    rng = random.Random(8)
+    for _ in range(400):
+        same = [rng.random() < rng.choice((0.6, 0.8, 0.9)) for _ in range(rng.randrange(60))]
+        counts = {
+            (a, b)
+            for b in range(len(same) + 1)
+            for a in range(b - 12)
+            if 5 * sum(same[a:b]) >= 4 * (b - a)
+        }
+        for whole in (True, False):
+            got = decontamination._stretches(np.array(same, bool), 13, whole)
+            assert set(got) <= counts
+            # Each stretch that counts has its agreeing words in one that is reported.
+            for a, b in counts:
+                agree = [i for i in range(a, b) if same[i]]
+                assert any(c <= agree[0] and agree[-1] < d for c, d in got)
+            assert not any(a <= c and d <= b for a, b in got for c, d in got if (a, b) != (c, d))
+
+
+def test_masks_miss_no_stretch():
+    places = [[i for i, c in enumerate(m) if c == "1"] for m in decontamination.MASKS]
+    for n in (13, 15, 20, 25):
+        fits = [sum(1 << (p + k) for p in ps) for ps in places for k in range(n - ps[-1])]
+        for replaced in itertools.combinations(range(n), n // 5):
+            bits = sum(1 << r for r in replaced)
+            assert any(not bits & f for f in fits)
+
+
 def test_a_benchmark_in_blocks_gives_the_same(spark, docs, monkeypatch):
     benchmark = spark.read.parquet(f"{DIRECTORY}/benchmark.parquet")
     whole = sorted(map(tuple, decontamination.overlaps(docs, benchmark).collect()))
