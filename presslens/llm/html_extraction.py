@@ -25,7 +25,9 @@ import json
 import re
 from collections.abc import Iterator
 from html import unescape
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -39,8 +41,10 @@ PARTS = 16
 # From fewer different pages no text is taken for template.
 LEAST = 4
 BROADCAST_BYTES = 32 << 20
-# Children beyond this product of two nodes' counts are matched by place, so that a huge list stays linear.
-CELLS = 4096
+# Lists of children with more pairs are aligned a NumPy row at a time, with the same result.
+CELLS = 256
+# Alignments of more pairs are kept while two trees are compared, as every level above asks for them.
+KEPT = 4096
 # Elements nested deeper than this stand beside each other.
 DEPTH = 200
 
@@ -163,16 +167,25 @@ def compact(node: Node) -> Node:
     return kept
 
 
-def match(a: Node, b: Node) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching of two nodes with equal labels: matched nodes, and the matched pairs of children."""
+def match(a: Node, b: Node, known: dict | None = None) -> tuple[int, list[tuple[int, int]]]:
+    """Simple tree matching of two nodes with equal labels: matched nodes, and the matched pairs of children.
+
+    `known` keeps large alignments while the nodes of both trees live and those below a and b do not change.
+    """
     x, y = a.children, b.children
     if not x or not y:
         return 1, []
-    if len(x) * len(y) > CELLS or (len(x) == len(y) and all(c.label == d.label for c, d in zip(x, y))):
-        pairs = [(i, i) for i in range(min(len(x), len(y))) if x[i].label == y[i].label]
-        return 1 + sum(_size(x[i], y[j]) for i, j in pairs), pairs
+    labels = [c.label for c in x]
+    if len(set(labels)) == len(x) and labels == [d.label for d in y]:
+        return 1 + sum(_size(c, d, known) for c, d in zip(x, y)), [(i, i) for i in range(len(x))]
+    if len(x) * len(y) > CELLS:
+        if known is None or len(x) * len(y) <= KEPT:
+            return _match_long(x, y, known)
+        if (id(a), id(b)) not in known:
+            known[id(a), id(b)] = _match_long(x, y, known)
+        return known[id(a), id(b)]
     width = len(y) + 1
-    weight = [[_size(c, d) if c.label == d.label else 0 for d in y] for c in x]
+    weight = [[_size(c, d, known) if c.label == d.label else 0 for d in y] for c in x]
     best = [[0] * width for _ in range(len(x) + 1)]
     for i, row in enumerate(weight):
         above, here = best[i], best[i + 1]
@@ -190,36 +203,117 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[int, int]]]:
     return 1 + best[-1][-1], pairs[::-1]
 
 
-def _size(a: Node, b: Node) -> int:
+def _shape(node: Node, texts: list[str]) -> tuple | None:
+    """The labels of a tree in which no two siblings share one, with its texts added to `texts`; else None.
+
+    Trees of one such shape match node by node.
+    """
+    if not node.tag:
+        texts.append(node.text)
+        return (node.label,)
+    inner = [_shape(c, texts) for c in node.children]
+    if None in inner or len({c.label for c in node.children}) < len(inner):
+        return None
+    return (node.label, *inner)
+
+
+def _nodes(node: Node) -> int:
+    return 1 + sum(map(_nodes, node.children))
+
+
+def _match_long(x: list[Node], y: list[Node], known: dict | None) -> tuple[int, list[tuple[int, int]]]:
+    """The same alignment of long lists; some rows of it are kept, the others made again on the way back."""
+    numbers: dict[str, int] = {}
+    groups: dict[str, dict] = {}
+
+    def described(c: Node) -> tuple:
+        texts: list[str] = []
+        shape = _shape(c, texts)
+        return shape, [numbers.setdefault(t, len(numbers)) for t in texts] if shape else []
+
+    for j, d in enumerate(y):
+        shape, texts = described(d)
+        places, listed = groups.setdefault(d.label, {}).setdefault(shape, ([], []))
+        places.append(j)
+        listed.append(texts)
+    tables = {
+        label: {k: (np.array(p), np.array(t, np.int64).reshape(len(p), -1) if k else p) for k, (p, t) in shapes.items()}
+        for label, shapes in groups.items()
+    }
+    own = [(*described(c), _nodes(c)) for c in x]
+
+    def weights(i: int) -> np.ndarray:
+        shape, texts, nodes = own[i]
+        out = np.zeros(len(y), np.int64)
+        for other, (places, listed) in tables.get(x[i].label, {}).items():
+            if shape and other == shape:
+                out[places] = nodes + 2 * (listed == np.array(texts, np.int64)).sum(1)
+            else:
+                out[places] = [_size(x[i], y[j], known) for j in places]
+        return out
+
+    def below(above: np.ndarray, i: int) -> np.ndarray:
+        here = np.zeros_like(above)
+        here[1:] = np.maximum.accumulate(np.maximum(above[1:], above[:-1] + weights(i)))
+        return here
+
+    step = isqrt(len(x)) + 1
+    row = np.zeros(len(y) + 1, np.int64)
+    kept = [row]
+    for i in range(len(x)):
+        row = below(row, i)
+        if (i + 1) % step == 0:
+            kept.append(row)
+    pairs, i, j = [], len(x), len(y)
+    while i and j:
+        first = (i - 1) // step * step
+        block = [kept[first // step]]
+        for k in range(first, i):
+            block.append(below(block[-1], k))
+        while i > first and j:
+            here, above = block[i - first], block[i - first - 1]
+            if here[j] == above[j]:
+                i -= 1
+            elif here[j] == here[j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((i, j))
+    return 1 + int(row[-1]), pairs[::-1]
+
+
+def _size(a: Node, b: Node, known: dict | None = None) -> int:
     """Matched nodes of two nodes with equal labels; equal texts count for more than mere texts."""
     if not a.tag:
         return 3 if a.text == b.text else 1
-    return match(a, b)[0]
+    return match(a, b, known)[0]
 
 
-def _agreement(a: Node, b: Node) -> int:
+def _agreement(a: Node, b: Node, known: dict | None = None) -> int:
     """Characters of text that are the same at matched places."""
     if not a.tag:
         return len(a.text) if a.text == b.text else 0
-    return sum(_agreement(a.children[i], b.children[j]) for i, j in match(a, b)[1])
+    known = {} if known is None else known
+    return sum(_agreement(a.children[i], b.children[j], known) for i, j in match(a, b, known)[1])
 
 
 def _length(a: Node) -> int:
     return len(a.text) if not a.tag else sum(map(_length, a.children))
 
 
-def _confirm(wrapper: Node, page: Node) -> bool:
+def _confirm(wrapper: Node, page: Node, known: dict | None = None) -> bool:
     """Drop from the wrapper what the page does not have, and blocks whose text differs (slots).
 
     True if text differs that is part of the block around the node.
     """
-    pairs = match(wrapper, page)[1]
+    known = {} if known is None else known
+    pairs = match(wrapper, page, known)[1]
     texts = sum(not c.tag for c in wrapper.children) + sum(not c.tag for c in page.children)
     kept, varies = [], texts != 2 * sum(not wrapper.children[i].tag for i, _ in pairs)
     for i, j in pairs:
         one, two = wrapper.children[i], page.children[j]
         if one.tag:
-            inner = _confirm(one, two)
+            inner = _confirm(one, two, known)
             varies |= inner and _inline(one)
             kept.append(one)
         elif one.text == two.text:
@@ -278,17 +372,15 @@ def induce(pages: list[str]) -> str:
     return json.dumps(_pack(wrapper)) if _prune(wrapper) else ""
 
 
-def _mark(wrapper: Node, page: Node) -> None:
-    """Empty the page's texts that match template texts."""
+def _mark(wrapper: Node, view: Node, page: Node, known: dict) -> None:
+    """Empty the page's texts that match template texts; `view` is the page as `compact` makes it."""
     places = [k for k, c in enumerate(page.children) if c.tag or clean(c.text)]
-    view = Node(page.tag, page.label)
-    view.children = [c if (c := page.children[k]).tag else Node("", "#text", clean(c.text)) for k in places]
-    for i, j in match(wrapper, view)[1]:
-        one, two = wrapper.children[i], page.children[places[j]]
+    for i, j in match(wrapper, view, known)[1]:
+        one, two, real = wrapper.children[i], view.children[j], page.children[places[j]]
         if one.tag:
-            _mark(one, two)
-        elif one.text == view.children[j].text:
-            two.text = " "
+            _mark(one, two, real, known)
+        elif one.text == two.text:
+            real.text = " "
 
 
 def _measure(node: Node) -> tuple[int, int]:
@@ -348,7 +440,7 @@ def extract(html: str, wrapper: Node | None = None) -> str:
     """The main text of a page."""
     page = parse(html)
     if wrapper is not None:
-        _mark(wrapper, page)
+        _mark(wrapper, compact(page), page, {})
     main, out = _main(page), []
     _gather(main or page, out, main is not None)
     return clean("".join(out))

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -187,6 +188,31 @@ def test_deep_and_broken_pages_do_not_fail():
     assert html_extraction.extract("<!-- never closed") == ""
 
 
+def test_template_behind_long_lists_of_any_length():
+    def page(n):
+        blocks = "".join(f"<p>Text {n} of block {k}</p>" for k in range(880 + n))
+        return f"<body><div>{blocks}<p>Read our terms of use</p><p>Late {n}</p></div></body>"
+
+    wrapper = html_extraction.induce([page(n) for n in range(4)])
+    assert "Read our terms of use" in wrapper
+    for n in (0, 5, 30):
+        text = html_extraction.extract(page(n), html_extraction._unpack(json.loads(wrapper)))
+        assert "terms of use" not in text and text.endswith(f"block {879 + n} Late {n}")
+
+
+def test_long_lists_match_like_short_ones(monkeypatch):
+    rng = random.Random(3)
+    kinds = ["<p>{}</p>", "<p>{} <b>{}</b> x</p>", "<p>x</p>", "<li><a>{}</a>{}</li>", "<div><p>{}</p><p>{}</p></div>", "{}", "<hr>"]
+    for _ in range(60):
+        made = ["".join(rng.choices(kinds, k=rng.randrange(2, 40))) for _ in range(2)]
+        a, b = (html_extraction.compact(html_extraction.parse(re.sub("{}", lambda _: rng.choice("stuvw"), m))) for m in made)
+        got = []
+        for cells in (0, 10**9):
+            monkeypatch.setattr(html_extraction, "CELLS", cells)
+            got.append(html_extraction.match(a, b, {}))
+        assert got[0] == got[1]
+
+
 # Mixing
 
 
