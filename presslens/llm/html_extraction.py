@@ -66,8 +66,12 @@ _SAME = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-# Elements whose content is no text of the page.
-_RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|canvas|audio|video|title"
+# Elements whose content is no text of the page: up to their end tag whatever it holds, and by the element stack.
+_RAW = "script|style|noscript|iframe|textarea|title"
+HIDDEN = frozenset("svg math object template canvas audio video".split())
+# Among them those in which a `/` ends an element, and which an element of HTML ends, but for the places that hold HTML.
+FOREIGN = frozenset("svg math".split())
+_HOLDS_HTML = frozenset("foreignobject desc annotation-xml".split())
 # Elements that never hold the article.
 ASIDE = frozenset("nav footer aside form menu button select label input dialog search head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -79,9 +83,11 @@ WORDS = frozenset(
     "subscription tags teaser toc toolbar topbar trending widget".split()
 )
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'){{0,4096}})>|<[!?][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'){{0,4096}})>|<({_RAW})(?=[\s/>])[^>]*>|<[!?][^>]*>",
     re.S | re.I,
 )
+_ENDS_RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _RAW.split("|")}
+_DRAWN = re.compile(r"<(?:svg|math)(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 
@@ -109,22 +115,42 @@ def parse(html: str) -> Node:
             if stack[depth].tag in tags:
                 del stack[depth:]
                 return
-            if stack[depth].tag in within:
+            if stack[depth].tag in within or stack[depth].tag in HIDDEN:
                 return
 
-    for token in _TOKEN.finditer(html):
+    def inside_foreign() -> int:
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth].tag in FOREIGN:
+                return depth
+            if stack[depth].tag in _HOLDS_HTML:
+                return 0
+        return 0
+
+    drawn = _DRAWN.search(html)
+    while token := _TOKEN.search(html, at):
         add_text(html[at : token.start()])
         at = token.end()
-        tag = token[3]
+        tag = (token[2] or token[4] or "").lower()
         if not tag:
             continue
-        tag = tag.lower()
-        if token[2]:
+        if token[1]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     del stack[depth:]
                     break
+                if stack[depth].tag == "template":
+                    break
+            continue
+        attributes = token[3] or ""
+        closed = attributes.rstrip().endswith("/")
+        foreign = inside_foreign() if drawn else 0
+        if tag in _ENDS_RAW:
+            if not (foreign and closed):
+                end = _ENDS_RAW[tag].search(html, at)
+                at = end.end() if end else len(html)
             continue
+        if foreign and tag in BLOCKS:
+            del stack[foreign:]
         if tag in _ENDS_P:
             close({"p"}, {"div", "td", "th", "li", "article", "section", "blockquote", "main", "body", "table"})
         if tag in _SAME:
@@ -135,8 +161,8 @@ def parse(html: str) -> Node:
                 if len(stack) == depth:
                     break
         name, aside = tag, tag in ASIDE
-        if token[4]:
-            for key, *values in _ATTRIBUTE.findall(token[4]):
+        if attributes:
+            for key, *values in _ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), "".join(values).lower()
                 if key == "role":
                     aside |= value in ROLES
@@ -147,8 +173,10 @@ def parse(html: str) -> Node:
                 else:
                     aside |= key == "hidden" or value == "true"
         node = Node(tag, name, aside=aside)
-        stack[-1].children.append(node)
-        if tag not in VOID and not token[4].rstrip().endswith("/") and len(stack) < DEPTH:
+        hidden = tag in HIDDEN
+        if not hidden:
+            stack[-1].children.append(node)
+        if tag not in VOID and not closed and (len(stack) < DEPTH or hidden and stack[-1].tag not in HIDDEN):
             stack.append(node)
     add_text(html[at:])
     return root

@@ -188,6 +188,37 @@ def test_deep_and_broken_pages_do_not_fail():
     assert html_extraction.extract("<!-- never closed") == ""
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<svg class='i'/>",
+        "<svg-icon name=x></svg-icon>",
+        "<video-player src=x></video-player>",
+        "<object-view><b></b></object-view>",
+        "<svg><title/><path d='M0'/><text>no</text></svg>",
+        "<svg viewBox='0 0'><g><path d='M0'></svg>",
+        "<p><svg><path d='M0'>",
+        "<a href=x><svg><text>no</text></a>",
+        "<svg><foreignObject><div>no</div></foreignObject></svg>",
+        "<div><video><source src=x>no</div>",
+        "<div><template></div><p>no</p></template></div>",
+        "<math><mi>no</mi></math><canvas>no</canvas><object><p>no</p></object>",
+        "<script>'<svg>'</script ><style>p</style><title>no</title>",
+        "<script x='>no</script>",
+    ],
+)
+def test_icons_and_custom_elements_swallow_nothing(before):
+    page = f"<body><div>{before}</div><div><p>One</p><p>two <svg><use href=x /></svg> <svg/>three</p></div></body>"
+    assert html_extraction.extract(page) == "One two three"
+    assert html_extraction.extract(page.replace("<p>One", "<article><p>One")) == "One two three"
+
+
+def test_hidden_elements_at_any_depth():
+    for n in (150, 199, 200, 300):
+        assert html_extraction.extract("<div>" * n + "a<svg><g><text>no</text></g></svg>b<svg/>c") == "abc"
+    assert html_extraction.extract("<svg>" * 5000 + "no" + "</svg>" * 5000 + "yes") == "yes"
+
+
 def test_template_behind_long_lists_of_any_length():
     def page(n):
         blocks = "".join(f"<p>Text {n} of block {k}</p>" for k in range(880 + n))
