@@ -58,6 +58,18 @@ MORE = (
     Rule("bearer", r"(?i)bearer\x20+([A-Za-z0-9._~+/-]{20,})"),
 )
 RULES = BASE + MORE
+# What may stand before a line of a key, as in quotations and program text.
+_MARGIN = r"""[\s>#"',|\\-]*"""
+# A private key with its body: up to the END line if no other key begins before it, else over lines of base64.
+# Repeated groups are bounded, as Java's expressions recurse over them; the largest keys in use have 200 lines.
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,400}-{5,}END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_MARGIN}(?:Proc-Type: ?[0-9]+, ?[A-Z]+|DEK-Info: ?[A-Z0-9-]+(?:, ?[0-9A-Fa-f]+)?)){{0,4}}"
+    rf"(?:{_MARGIN}[A-Za-z0-9+/=]{{16,}}){{0,400}}"
+    rf"(?:(?=[^A-Za-z0-9+/=]){_MARGIN}[A-Za-z0-9+/]{{1,15}}={{1,2}}|\r?\n[>#|-]?\x20?[A-Za-z0-9+/]{{1,15}}(?=\s*(?:\n|$)))?)"
+)
+# The rules by which texts are redacted; the spans of the report end with the BEGIN line, as its SQL has them.
+REDACTED = tuple(Rule("pem", PRIVATE_KEY) if r.kind == "pem" else r for r in RULES)
 # An expression with more alternatives than this is scanned for in every document.
 ALTERNATIVES = 64
 # Bits that fit into a clause; any of its trigrams may be left out, for all of them are necessary.
@@ -236,10 +248,10 @@ def secrets_report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, length_column: str | None = "n_chars") -> DataFrame:
     """All rows of `docs` with each span of a secret replaced by its kind in brackets.
 
-    Spans that overlap become one, named after the first. A null text stays null. `length_column`, where
+    A private key goes with its body. Spans that overlap become one, named after the first. A null text stays null. `length_column`, where
     the table has it, is set to the new length of changed texts.
     """
-    found = with_spans(docs)
+    found = with_spans(docs, REDACTED)
     name = found.columns[-1]
     text, spans = F.col("text"), F.col(f"`{name}`")
     nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
