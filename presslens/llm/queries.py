@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from presslens.llm import (
     decontamination,
+    fill_in_middle,
     html_extraction,
     jaccard_join,
     language_model,
@@ -84,3 +85,8 @@ def op9_warc(spark, directory):
 @query("op10_secrets", secrets.SECRETS_SQL)
 def op10_secrets(spark, directory):
     return secrets.secrets_report(table(spark, directory, "documents"))
+
+
+@query("op13_fill_in_middle", fill_in_middle.DIGEST_SQL)
+def op13_fill_in_middle(spark, directory):
+    return fill_in_middle.digest_report(table(spark, directory, "documents"))
