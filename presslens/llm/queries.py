@@ -14,6 +14,7 @@ from presslens.llm import (
     language_model,
     mixing,
     quality_rules,
+    rule_ensemble,
     secrets,
     substring_dedup,
     toxicity,
@@ -87,6 +88,11 @@ def op10_secrets(spark, directory):
     return secrets.secrets_report(table(spark, directory, "documents"))
 
 
+@query("op12_rule_ensemble")
+def op12_rule_ensemble(spark, directory):
+    return rule_ensemble.quality_report(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 @query("op13_fill_in_middle", fill_in_middle.DIGEST_SQL)
 def op13_fill_in_middle(spark, directory):
     return fill_in_middle.digest_report(table(spark, directory, "documents"))

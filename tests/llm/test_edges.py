@@ -5,11 +5,13 @@ import pytest
 import corpus_pipeline
 from presslens.llm import (
     decontamination,
+    fill_in_middle,
     html_extraction,
     jaccard_join,
     language_model,
     mixing,
     quality_rules,
+    rule_ensemble,
     secrets,
     substring_dedup,
     toxicity,
@@ -76,11 +78,13 @@ def reports(labels, benchmark):
         "6": lambda d: quality_rules.quality_report(d, labels),
         "7": jaccard_join.join_report,
         "10": secrets.secrets_report,
+        "12": lambda d: rule_ensemble.quality_report(d, labels),
+        "13": fill_in_middle.digest_report,
         "8": lambda d: decontamination.overlaps(d, benchmark),
     }
 
 
-@pytest.mark.parametrize("number", ["1", "2", "4", "5", "6", "7", "10"])
+@pytest.mark.parametrize("number", ["1", "2", "4", "5", "6", "7", "10", "12", "13"])
 def test_one_row_per_row(odd, nothing, labels, benchmark, number):
     report = reports(labels, benchmark)[number]
     got = report(odd).collect()
@@ -102,6 +106,9 @@ def test_defined_results(odd, labels, benchmark):
     assert all(0 <= r["score"] <= 1 for r in made["5"])
     assert [r["base_failed"] for r in of("6", 4)] == [True]
     assert [(r["n_assign"], r["n_access"]) for r in of("10", 8)] == [(1, 1)]
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in made["12"])
+    assert len({r["score"] for i in (3, 4) for r in of("12", i)}) == 1
+    assert {r["form"] for i in (3, 4) for r in of("13", i)} == {"plain"}
     assert sorted(str(r["doc_id"]) for r in made["8"]) == ["1", "2", "2", "None"]
 
 
