@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from presslens.llm import (
+    conversation_repair,
     decontamination,
     fill_in_middle,
     html_extraction,
@@ -88,6 +89,11 @@ def op10_secrets(spark, directory):
     return secrets.secrets_report(table(spark, directory, "documents"))
 
 
+@query("op11_conversation_repair", conversation_repair.REPAIR_SQL)
+def op11_conversation_repair(spark, directory):
+    return conversation_repair.repair_report(conversation_repair.damaged(table(spark, directory, "conversations")))
+
+
 @query("op12_rule_ensemble")
 def op12_rule_ensemble(spark, directory):
     return rule_ensemble.quality_report(table(spark, directory, "documents"), table(spark, directory, "labels"))
