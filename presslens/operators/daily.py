@@ -103,12 +103,8 @@ def zero_filled(
     empty = spine(articles, location_ids, by, full_calendar).withColumns(
         {"measure": F.lit(ARTICLES), "n": F.lit(0).cast("long")}
     )
-    n = F.col("n")
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("measure") == m, n)), F.lit(0)).cast("long").alias(m)
-        for m in measures
-    ]
-    return counted.unionByName(empty).groupBy(*by, "location").agg(*cells)
+    wide = counted.unionByName(empty).groupBy(*by, "location").pivot("measure", measures).agg(F.sum("n").cast("long"))
+    return wide.fillna(0, measures)
 
 
 def daily_summary(
@@ -130,21 +126,38 @@ def daily_summary(
         codes = list(languages)
         articles = articles.where(F.col("lang").isin(codes))
         sets = sets.where(F.col("lang").isin(codes))
-        pairs = [F.lit(x) for item in languages.items() for x in item]
-        printed = F.element_at(F.create_map(*pairs), F.col("lang"))
-    else:
-        printed = F.lit(language)
+    counted = measure_counts(sets, summary_measures(), by)
+    return _summary(articles, counted, keyword_ids, location_ids, by, languages, language, full_calendar)
+
+
+def summary_measures():
+    """All that an article counts for: itself, its categories, any keyword, its keywords."""
     found = F.coalesce(category_measures(), F.array().cast("array<string>"))
-    measures = F.concat(F.array(F.lit(ARTICLES)), found, F.col("keywords"))
+    return F.concat(F.array(F.lit(ARTICLES)), found, F.col("keywords"))
+
+
+def summary_cells(articles: DataFrame, sets: DataFrame, by: tuple[str, ...] = ("date",)) -> DataFrame:
+    """The long form of the published table: articles per group, location and measure, which add up over parts of the
+    articles. A group with articles but without any count has a row without location and measure.
+    """
+    days = _grouped(articles, by).select(*by).distinct()
+    empty = days.select(*by, *[F.lit(None).cast(t).alias(c) for c, t in (("location", "string"), ("measure", "string"), ("n", "long"))])
+    return measure_counts(sets, summary_measures(), by).unionByName(empty)
+
+
+def summary_of_cells(cells: DataFrame, keyword_ids: list[str], location_ids: list[str], languages: dict[str, str]) -> DataFrame:
+    """The published table of cells (date, lang, location, measure, n), of as many parts as there are."""
+    by = ("date", "lang")
+    counted = cells.where("measure IS NOT NULL").groupBy(*by, "location", "measure").agg(F.sum("n").alias("n"))
+    return _summary(cells, counted, keyword_ids, location_ids, by, languages, "", False)
+
+
+def _summary(articles, counted, keyword_ids, location_ids, by, languages, language, full_calendar) -> DataFrame:
+    printed = F.lit(language)
+    if languages:
+        printed = F.element_at(F.create_map(*[F.lit(x) for item in languages.items() for x in item]), F.col("lang"))
     columns = measure_columns(keyword_ids)
-    wide = zero_filled(
-        articles,
-        measure_counts(sets, measures, by),
-        location_ids,
-        [ARTICLES, *columns],
-        by,
-        full_calendar,
-    )
+    wide = zero_filled(articles, counted, location_ids, [ARTICLES, *columns], by, full_calendar)
     return wide.select(
         "date",
         "location",

@@ -118,14 +118,13 @@ def keyword_totals(counted: DataFrame) -> DataFrame:
 
 
 def counts_per_article(articles: DataFrame, counted: DataFrame, ids: list[str]) -> DataFrame:
-    """Wide table: article columns, one zero-filled column per id, and `kw_all`."""
-    n = F.col("n")
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("entity_id") == i, n)), F.lit(0)).cast("long").alias(i)
-        for i in ids
-    ]
-    kw_all = F.coalesce(F.sum(F.when(F.col("kind") == "keyword", n)), F.lit(0)).cast("long")
-    wide = counted.groupBy("article_id").agg(*cells, kw_all.alias("kw_all"))
+    """Wide table: article columns, one zero-filled column per id, and `kw_all`.
+
+    `counted` is brought together by article once; the sum of the keywords is one more column of the same pivot.
+    """
+    cells = F.array(F.col("entity_id"), F.when(F.col("kind") == "keyword", "kw_all"))
+    long = counted.repartition("article_id").select("article_id", F.explode(F.array_compact(cells)).alias("_id"), "n")
+    wide = long.groupBy("article_id").pivot("_id", [*ids, "kw_all"]).agg(F.sum("n").cast("long"))
     return articles.join(wide, "article_id", "left").fillna(0, [*ids, "kw_all"])
 
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.functions.names import python_literal_to_json
 from presslens.schemas import ARTICLES_CSV, ARTICLES_JSON, SOURCE
+from presslens.sources.csv_ranges import csv_files, csv_table
 
 
 def file_name() -> Column:
@@ -18,32 +16,19 @@ def file_name() -> Column:
 
 
 def read_articles_csv(spark: SparkSession, paths, schema: T.StructType = ARTICLES_CSV) -> DataFrame:
-    """Downloaded articles with their file name; bodies may span lines.
+    """Downloaded articles with their file name; bodies may span lines, and large files are read in ranges.
 
-    A multi-line CSV file cannot be split, so large collections should be landed once as Parquet.
     Columns are matched by header, so files may lack some or order them differently.
     """
-    read = read_csv_by_header(spark, paths, {"multiLine": True, "escape": '"'})
-    return typed(read, schema).drop("userHasPermissions")
+    return typed(read_csv_by_header(spark, paths), schema).drop("userHasPermissions")
 
 
-def read_csv_by_header(spark: SparkSession, paths, options: dict | None = None, listing: dict | None = None) -> DataFrame:
+def read_csv_by_header(spark: SparkSession, paths, listing: dict | None = None) -> DataFrame:
     """CSV files with their name in `file`, columns matched by header whatever order a file has them in.
 
-    Files with the same header line are read together; the driver gets one row per file. Columns that a file
-    lacks are null. `listing` has options that choose files.
+    Columns that a file lacks are null. `listing` has options that choose files.
     """
-    lines = spark.read.options(**listing or {}).text(paths).where("_metadata.file_block_start = 0")
-    numbered = lines.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("number"))
-    first = numbered.groupBy("path").agg(F.min_by("value", "number").alias("header"))
-    groups: dict[str, list[str]] = {}
-    for row in first.orderBy("path").collect():
-        groups.setdefault(row["header"].strip(), []).append(unquote(row["path"]))
-    reader = spark.read.option("header", True).options(**options or {})
-    if not groups:
-        return reader.options(**listing or {}).csv(paths).withColumn("file", file_name())
-    parts = [reader.csv(files).withColumn("file", file_name()) for files in groups.values()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return csv_table(csv_files(spark, paths, listing))
 
 
 def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:

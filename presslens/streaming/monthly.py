@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from presslens.operators import daily as D
 from presslens.operators import mentions as M
 from presslens.sources.articles import typed, with_file_language
+from presslens.sources.csv_ranges import csv_table, stream_files
+from presslens.streaming import published as P
 
 KEYS = ["date", "location", "admin_level", "language"]
 
@@ -40,26 +42,30 @@ def distinct_articles(articles: DataFrame, key: str = "url") -> DataFrame:
     return articles.dropDuplicates([key])
 
 
-def stream_articles(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """Stream of article files: each file that appears is read once, with its name.
+def file_articles(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """Articles of a batch of files (path, length), with their file name, whatever headers the files have.
 
-    A file whose header is not the schema fails the batch before it is marked as read.
+    Columns are matched by header; those that no file of the batch has are null.
     """
-    raw = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(folder)
-    )
-    return raw.withColumn("file", F.col("_metadata.file_name"))
+    read = typed(csv_table(files), schema)
+    lacking = [f for f in schema.fields if f.name.lower() not in {c.lower() for c in read.columns}]
+    whole = read.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking}) if lacking else read
+    return whole.select(*schema.names, "file")
 
 
-def daily_of_file_batch(
-    batch: DataFrame, variants: DataFrame, keyword_ids: list[str], location_ids: list[str]
-) -> DataFrame:
-    """Daily rows of the articles of one batch, all languages in one pass.
+def landed_articles(files: DataFrame, schema: T.StructType, path: str) -> DataFrame:
+    """Parse the files of a batch once and number their rows; a repeated batch overwrites what it wrote before."""
+    numbered = file_articles(files, schema).withColumn("article_id", F.monotonically_increasing_id())
+    numbered.write.mode("overwrite").parquet(path)
+    return files.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
+# Codes of the file languages and their printed names.
+LANGUAGES = {"eng": "English", "ara": "Arabic"}
+
+
+def sets_of_files(batch: DataFrame, variants: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Articles (article_id, date, lang, body) of files in a known language, and their sets of places and keywords.
 
     `variants` has a `lang` column, and an article meets only the spellings of its file's language. Every
     row with an `article_id` of its own is an article, whatever its address; rows that are not numbered are here.
@@ -69,14 +75,20 @@ def daily_of_file_batch(
     known = with_file_language(batch)
     codes = F.when(F.col("language") == "English", "eng").otherwise("ara")
     articles = known.select("article_id", "date", codes.alias("lang"), "body")
-    sets = M.entity_sets(articles, variants, ("date", "lang"), by_lang=True)
-    return D.daily_summary(
-        articles,
-        sets,
-        keyword_ids,
-        location_ids,
-        languages={"eng": "English", "ara": "Arabic"},
-    )
+    return articles, M.entity_sets(articles, variants, ("date", "lang"), by_lang=True)
+
+
+def daily_of_file_batch(
+    batch: DataFrame, variants: DataFrame, keyword_ids: list[str], location_ids: list[str]
+) -> DataFrame:
+    """Daily rows of the articles of one batch, all languages in one pass."""
+    articles, sets = sets_of_files(batch, variants)
+    return D.daily_summary(articles, sets, keyword_ids, location_ids, languages=LANGUAGES)
+
+
+def _run_available(files: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    stream = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    stream.awaitTermination()
 
 
 def run_update(
@@ -99,30 +111,61 @@ def run_update(
     written = []
 
     def handle(batch: DataFrame, number: int) -> None:
-        # The files are parsed once; the numbers of the rows are fixed by writing them.
-        landed = f"{daily_path.rstrip('/')}.landed/batch={number}"
-        numbered = typed(batch, schema).withColumn("article_id", F.monotonically_increasing_id())
-        numbered.write.mode("overwrite").parquet(landed)
-        articles = spark.read.schema(numbered.schema).parquet(landed)
+        articles = landed_articles(batch, schema, f"{daily_path.rstrip('/')}.landed/batch={number}")
         if articles.isEmpty():
             return
         rows = daily_of_file_batch(articles, variants, keyword_ids, location_ids)
         rows.write.mode("overwrite").parquet(f"{daily_path}/batch={number}")
         written.append(number)
 
-    stream = (
-        stream_articles(spark, inbox, schema)
-        .writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    stream.awaitTermination()
+    _run_available(stream_files(spark, inbox), handle, checkpoint)
     if written and publish is not None:
         publish(spark.read.parquet(daily_path).drop("batch"))
     return len(written)
 
 
+def run_running_table(
+    spark: SparkSession,
+    inbox: str,
+    folder: str,
+    checkpoint: str,
+    variants: DataFrame,
+    keyword_ids: list[str],
+    location_ids: list[str],
+    schema: T.StructType,
+) -> int:
+    """Keep one table of articles per day, place, language, category and keyword up to date with the files that arrive.
+
+    The state is a table of counted cells, keyed by batch, day, language, place and measure. A batch writes its own
+    cells, adds up the cells of the days it touches, whichever batches they are from, and publishes just these days
+    (`published.current` reads the table). So late articles of any age change their own days only, and a batch that is
+    repeated after a lost executor or driver changes nothing. Returns the number of batches that published something.
+    """
+    done, folder = [], folder.rstrip("/")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        if P.is_published(spark, f"{folder}/table", number):
+            return
+        articles = landed_articles(batch, schema, f"{folder}/landed/batch={number}")
+        if articles.isEmpty():
+            return
+        articles, sets = sets_of_files(articles, variants)
+        cells = D.summary_cells(articles, sets, ("date", "lang"))
+        cells.write.mode("overwrite").partitionBy("date").parquet(f"{folder}/cells/batch={number}")
+        every = spark.read.schema(T.StructType([*cells.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{folder}/cells")
+        # Batches behind this one have been there only if it is repeated; they will be added when they come again.
+        every = every.where(F.col("batch") <= number).drop("batch")
+        # One row per day of the batch; the days are folders, so only theirs are read.
+        days = spark.read.schema(cells.schema).parquet(f"{folder}/cells/batch={number}").select("date").distinct()
+        touched = every.join(F.broadcast(days), "date", "left_semi")
+        rows = D.summary_of_cells(touched, keyword_ids, location_ids, LANGUAGES)
+        P.replace_days(rows, f"{folder}/table", number)
+        done.append(number)
+
+    _run_available(stream_files(spark, inbox), handle, checkpoint)
+    return len(done)
+
+
 def stream_daily_counts(articles: DataFrame, variants: DataFrame, delay: str = "31 days") -> DataFrame:
     """Articles per day and location as a running stream with late data up to `delay`.
 
