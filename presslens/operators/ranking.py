@@ -1,9 +1,9 @@
 """Ordered operators that stay parallel inside one large group.
 
-A window numbers a whole group in one task. Here the rows are first cut into consecutive ranges of their
-order; each (group, range) is numbered by itself and shifted by the rows of the ranges before it. The
-cut points come from a small sample and only steer the balance: any cut points give the same result. They
-are cut on the whole order, so rows that tie on its first column are spread too.
+A window numbers a whole group in one task. Here the rows are dealt by one range partitioning of their order and sorted
+inside the ranges, as many as the number of rows asks for; a row's place is its place in its range plus the rows of the
+ranges before it. The input is computed once, as it is written before its order is sampled. The whole order
+is cut, so rows that tie on its first column are spread too.
 """
 
 from __future__ import annotations
@@ -11,41 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
-# Rows of the sample that the cut points are taken from.
-SAMPLE = 4096
+from presslens.operators.sizing import stored
 
+# Rows that are worth a range of their own, and how many ranges there are at most; a range beyond that is larger.
+ROWS = 10_000
+RANGES = 20_000
 
-def with_range(df: DataFrame, order: list[Column], name: str = "_range", ranges: int = RANGES) -> DataFrame:
-    """Number the consecutive ranges of an ascending order that hold about the same number of rows.
 
-    The sample is the rows with the smallest hashes, which no row can be part of by its place.
-    """
-    fields = [c.alias(f"k{i}") for i, c in enumerate(order)]
-    keyed = df.withColumn("_key", F.struct(*fields))
-    sample = keyed.select("_key", F.xxhash64(*df.columns).alias("_h")).orderBy("_h").limit(SAMPLE)
-    types = keyed.schema["_key"].dataType.fields
-    printed = [F.col(f"_key.{f.name}").cast("string") for f in types]
-    # SAMPLE rows at most reach the driver; the sort is Spark's, so that it agrees with the comparison.
-    keys = sample.orderBy("_key").select(*printed).collect()
-    picked = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
-    known = [_literal(key, types) for key in dict.fromkeys(picked)]
-    if not known:
-        return keyed.withColumn(name, F.lit(0)).drop("_key")
-    below = F.size(F.filter(F.expr(f"array({', '.join(known)})"), lambda c: c < F.col("_key")))
-    return keyed.withColumn(name, below).drop("_key")
-
-
-def _literal(values: tuple, types: list) -> str:
-    """SQL text of a struct from the printed values of its fields."""
+def in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows with `_range`, the number of their range of an ascending order, and `_place` in it, from 0.
 
-    def quoted(value):
-        if value is None:
-            return "NULL"
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    parts = [f"'{f.name}', CAST({quoted(v)} AS {f.dataType.simpleString()})" for v, f in zip(values, types)]
-    return f"named_struct({', '.join(parts)})"
+    The result is written, so that whatever reads it meets the same ranges.
+    """
+    once = stored(df, "unordered")
+    ranges = max(1, min(RANGES, -(-once.count() // ROWS)))
+    dealt = once.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    numbered = dealt.withColumn("_id", F.monotonically_increasing_id())
+    # The number of the partition is above the lower 33 bits.
+    split = numbered.withColumns(
+        {"_range": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    return stored(split.drop("_id"), "ranges")
 
 
 def _rejoin(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,24 +45,24 @@ def _rejoin(df: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
 
 def number_rows(df: DataFrame, groups: list[str], order: list[Column], name: str = "number") -> DataFrame:
     """`row_number` per group along an ascending total order."""
-    ranged = with_range(df, order)
-    keys = [*groups, "_range"]
-    cells = ranged.groupBy(*keys).agg(F.count("*").alias("_n"))
-    # At most RANGES rows per group are left here.
-    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    numbered = _rejoin(ranged, offsets, keys)
-    return numbered.withColumn(name, (F.col("_offset") + inside).cast("long")).drop("_offset", "_range")
+    ranged = in_ranges(df, [*[F.col(g) for g in groups], *order])
+    # At most RANGES rows are left here and broadcast.
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    placed = ranged.join(F.broadcast(offsets), "_range").withColumn("_place", F.col("_offset") + F.col("_place"))
+    placed = placed.drop("_offset", "_range")
+    if not groups:
+        return placed.withColumn(name, (F.col("_place") + 1).cast("long")).drop("_place")
+    first = placed.groupBy(*groups).agg(F.min("_place").alias("_first"))
+    numbered = _rejoin(placed, first, groups)
+    return numbered.withColumn(name, (F.col("_place") - F.col("_first") + 1).cast("long")).drop("_place", "_first")
 
 
 def forward_fill(df: DataFrame, columns: list[str], order: list[Column]) -> DataFrame:
     """Replace nulls by the last value before them in the ascending order of the whole table."""
-    ranged = with_range(df, order)
-    last = [
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{c}")
-        for c in columns
-    ]
+    ranged = in_ranges(df, order)
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_place"))).alias(f"_last_{c}") for c in columns]
     # One row per range, so the window over all of them is small however large the table is.
     ends = ranged.groupBy("_range").agg(*last)
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,17 +70,44 @@ def forward_fill(df: DataFrame, columns: list[str], order: list[Column]) -> Data
         "_range",
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns],
     )
-    upto = (
-        Window.partitionBy("_range")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    upto = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # At most RANGES rows are broadcast.
     joined = ranged.join(F.broadcast(carried), "_range", "left")
     filled = joined.withColumns(
-        {
-            c: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_carry_{c}"))
-            for c in columns
-        }
+        {c: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_carry_{c}")) for c in columns}
     )
-    return filled.drop("_range", *[f"_carry_{c}" for c in columns])
+    return filled.drop("_range", "_place", *[f"_carry_{c}" for c in columns])
+
+
+def quantiles(df: DataFrame, by: str, value: str, weight: str, shares: dict[str, float]) -> DataFrame:
+    """Exact linear quantiles per group of values that count `weight` times (a whole number above 0).
+
+    `df` has one row per group and value. The ranks asked for are looked up in the summed weights of the ranges; only
+    the ranges that hold one are gone through row by row, so no task holds the values of a whole group.
+    """
+    ranged = in_ranges(df.select(by, F.col(value).cast("double").alias("_v"), F.col(weight).cast("long").alias("_w")), [F.col(by), F.col("_v")])
+    cells = ranged.groupBy(by, "_range").agg(F.sum("_w").alias("_n"))
+    whole = Window.partitionBy(by)
+    upto = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumns({"_end": F.sum("_n").over(upto), "_total": F.sum("_n").over(whole)})
+    ranks = []
+    for share in shares.values():
+        at = F.lit(share) * (F.col("_total") - 1)
+        ranks += [F.floor(at), F.ceil(at)]
+    wanted = F.filter(F.array_distinct(F.array(*ranks)), lambda k: (k >= F.col("_end") - F.col("_n")) & (k < F.col("_end")))
+    cells = cells.select(by, "_range", (F.col("_end") - F.col("_n")).alias("_before"), "_total", wanted.alias("_ranks"))
+    inside = Window.partitionBy(by, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _rejoin(ranged, cells.where(F.size("_ranks") > 0), [by, "_range"]).where("_total IS NOT NULL")
+    rows = rows.withColumn("_end", F.col("_before") + F.sum("_w").over(inside))
+    held = F.filter("_ranks", lambda k: (k >= F.col("_end") - F.col("_w")) & (k < F.col("_end")))
+    found = rows.select(by, "_total", "_v", F.explode(held).alias("_k"))
+    # Two rows per share and group are left.
+    found = found.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_at"), F.max("_total").alias("_total"))
+
+    def linear(share: float) -> Column:
+        at = F.lit(share) * (F.col("_total") - 1)
+        low, high = (F.element_at("_at", f(at)) for f in (F.floor, F.ceil))
+        between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+        return F.when(F.floor(at) == F.ceil(at), low).otherwise(between)
+
+    return found.select(by, *[linear(share).alias(name) for name, share in shares.items()])

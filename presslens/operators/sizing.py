@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """Write a frame to the shared folder once and read it back, with its columns still to be chosen from."""
+    path = f"{shared_folder(df.sparkSession)}/presslens-{purpose}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_values(df: DataFrame, column: str, limit: int = 50_000) -> list:
     """Sorted distinct values of a dictionary column, refusing anything larger than a dictionary."""
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.operators.sizing import cut_lineage
+from presslens.operators import ranking
 
 
 def value_counts(df: DataFrame, columns: list[str], name: str = "n") -> DataFrame:
@@ -21,46 +21,44 @@ def lowest(df: DataFrame, column: str, ties: list[str], k: int = 20) -> DataFram
 def length_quantiles(df: DataFrame, by: str, column: str, shares: list[float]) -> DataFrame:
     """Mean, extremes and exact linear quantiles per group.
 
-    Rows are first counted per distinct value, so the exact percentile sees each value once.
+    Rows are first counted per distinct value; the quantiles are looked up by rank in ranges of the values.
     """
     per_value = df.dropna(subset=[column]).groupBy(by, column).agg(F.count("*").alias("_n"))
-    value, n = F.col(column).cast("double"), F.col("_n")
-    quantiles = [
-        F.percentile(value, s, n).alias("q" + f"{s:.2f}".split(".")[1]) for s in shares
-    ]
-    return per_value.groupBy(by).agg(
+    n = F.col("_n")
+    named = {"q" + f"{s:.2f}".split(".")[1]: s for s in shares}
+    totals = per_value.groupBy(by).agg(
         F.sum(n).alias("n"),
         (F.sum(F.col(column).cast("long") * n).cast("double") / F.sum(n).cast("double")).alias("mean"),
         F.min(column).alias("min"),
         F.max(column).alias("max"),
-        *quantiles,
     )
+    return _with_quantiles(totals, per_value, by, column, "_n", named)
+
+
+def _with_quantiles(totals: DataFrame, per_value: DataFrame, by: str, value: str, weight: str, shares: dict[str, float]) -> DataFrame:
+    found = ranking.quantiles(per_value, by, value, weight, shares).withColumnRenamed(by, "_by")
+    return totals.join(found, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Rows per bin of equal width between the smallest and the largest value.
 
-    The last bin is closed on the right; bins without rows are absent. Rows are counted per value first
-    and the counts kept, so that an expensive input is computed once for the extremes and the bins.
+    The last bin is closed on the right; bins without rows are absent. The extremes are found first, then each row
+    names its bin, so that a task hands on at most a count per bin. The input is computed for both.
     """
-    value = F.col(column).cast("double").alias("_x")
-    per_value = cut_lineage(df.groupBy(value).agg(F.count("*").alias("_n")))
-    # Only now: a null test before the counting would be pushed down and score every row twice.
-    per_value = per_value.where("_x IS NOT NULL")
-    low, high = per_value.agg(F.min("_x"), F.max("_x")).first()
+    values = df.select(F.col(column).cast("double").alias("_x"))
+    low, high = values.agg(F.min("_x"), F.max("_x")).first()
     width = ((high or 0.0) - (low or 0.0)) / bins
     place = F.floor((F.col("_x") - F.lit(low)) / F.lit(width)) if width > 0 else F.lit(0)
-    bin_ = F.least(F.lit(bins - 1), place).cast("int")
-    return per_value.groupBy(bin_.alias("bin")).agg(F.sum("_n").alias("n"))
+    bin_ = F.when(F.col("_x").isNotNull(), F.least(F.lit(bins - 1), place)).cast("int")
+    # Nulls are left out by their count: a null test would be pushed down and compute every value twice.
+    return values.groupBy(bin_.alias("bin")).agg(F.count("_x").alias("n")).where("n > 0")
 
 
 def weighted_quartiles(df: DataFrame, value: str, weight: str, by: str) -> DataFrame:
     """Minimum, quartiles and maximum when every value is repeated `weight` times."""
     per_value = df.dropna(subset=[value, weight]).groupBy(by, value).agg(F.sum(weight).alias("_w"))
     kept = per_value.where("_w > 0")
-    quartile = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    return kept.groupBy(by).agg(
-        F.min(value).alias("min"),
-        *[F.percentile(value, s, F.col("_w")).alias(n) for n, s in quartile.items()],
-        F.max(value).alias("max"),
-    )
+    totals = kept.groupBy(by).agg(F.min(value).alias("min"), F.max(value).alias("max"))
+    found = _with_quantiles(totals, kept, by, value, "_w", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return found.select(by, "min", "q1", "median", "q3", "max")

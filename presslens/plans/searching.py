@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from presslens.functions import text as T
+from presslens.operators import postings as P
 from presslens.operators import search as Q
 from presslens.operators import series as S
+from presslens.operators.sizing import shared_folder
 from presslens.plans import fixtures as X
 from presslens.plans.counting import daily_sets
 from presslens.plans.registry import query
@@ -45,6 +49,18 @@ def search_articles(spark, directory):
     return found_articles(spark, directory)
 
 
+@query("search_articles_by_index", f"WITH {_SQL_SEARCH} SELECT * FROM found")
+def search_articles_by_index(spark, directory):
+    folder = f"{shared_folder(spark)}/presslens-postings-{uuid.uuid4().hex}"
+    every = articles(spark, directory)
+    # Two batches, as they would land one after the other.
+    for batch in (0, 1):
+        P.add_batch(every.where(F.pmod(F.col("article_id"), F.lit(2)) == batch), folder, batch)
+    groups = [[("title", "the"), ("body", "of the"), ("body", "in to")], [("body", "with"), ("body", "by")]]
+    known = Q.search_articles(flagged_articles(spark, directory), [], "2024-01-05", "2024-01-25", "en", skip_duplicates=True)
+    return P.search_index(known.select("article_id", "date", "lang", "source"), P.read_index(spark, folder), groups)
+
+
 @query("search_time_series", f"WITH {_SQL_SEARCH} SELECT date, count(*) AS count FROM found GROUP BY date")
 def search_time_series(spark, directory):
     return Q.time_series(found_articles(spark, directory))

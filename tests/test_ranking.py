@@ -31,13 +31,58 @@ def test_running_number_by_text(hot):
     assert both.where("n <> p").count() == 0
 
 
+@pytest.fixture(autouse=True)
+def small_ranges(monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS", 100)
+
+
 @pytest.mark.parametrize("first", ["id", "name", "same"])
 def test_ranges_are_even_also_for_ties_and_long_prefixes(hot, first):
     frame = hot.withColumn("name", F.concat(F.lit("https://en.example.org/wiki/"), "name"))
     frame = frame.withColumn("same", F.when(F.col("id") > 9, 1))
-    sizes = ranking.with_range(frame, [F.col(first), F.col("id")]).groupBy("_range").count()
-    assert sizes.agg(F.max("count")).first()[0] < 4 * 5000 / ranking.RANGES
-    assert sizes.count() > ranking.RANGES / 2
+    sizes = ranking.in_ranges(frame, [F.col(first), F.col("id")]).groupBy("_range").count()
+    assert sizes.agg(F.max("count")).first()[0] < 4 * ranking.ROWS
+    assert sizes.count() > 5000 / ranking.ROWS / 2
+
+
+def test_a_million_rows_are_more_than_64_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS", 10_000)
+    sizes = ranking.in_ranges(spark.range(1_000_000), [F.xxhash64("id")]).groupBy("_range").count().collect()
+    assert len(sizes) > 64 and max(r["count"] for r in sizes) < 30_000
+
+
+def test_the_input_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    frame = spark.range(3000).mapInArrow(count, "id long")
+    assert ranking.number_rows(frame, [], [F.col("id")], "n").where("n <> id + 1").count() == 0
+    assert seen.value == 3000
+
+
+def test_quantiles_are_those_of_all_values(spark):
+    rows = spark.range(4000).selectExpr("CASE WHEN id % 9 < 7 THEN 'hot' WHEN id % 9 = 7 THEN 'b' END AS g", "CAST(id * 7919 % 1237 AS DOUBLE) / 8 AS v", "id % 5 AS w")
+    made = rows.where("w > 0").groupBy("g", "v").agg(F.sum("w").alias("w"))
+    shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.987, "e": 1.0}
+    plain = made.groupBy("g").agg(*[F.percentile("v", s, F.col("w")).alias(n) for n, s in shares.items()])
+    got = {r["g"]: tuple(r)[1:] for r in ranking.quantiles(made, "g", "v", "w", shares).collect()}
+    want = {r["g"]: tuple(r)[1:] for r in plain.collect()}
+    assert set(got) == set(want) == {"hot", "b", None}
+    for g in want:
+        assert got[g] == pytest.approx(want[g])
+
+
+def test_histogram_of_nulls_and_one_value(spark):
+    from presslens.operators import stats
+
+    frame = spark.createDataFrame([(1.0,), (None,), (2.0,), (3.0,)], "x double")
+    assert {tuple(r) for r in stats.histogram(frame, "x", 2).collect()} == {(0, 1), (1, 2)}
+    assert [tuple(r) for r in stats.histogram(frame.where("x = 2"), "x", 4).collect()] == [(0, 1)]
+    assert stats.histogram(frame.where("x IS NULL"), "x", 4).collect() == []
 
 
 def test_forward_fill(hot):
