@@ -39,6 +39,32 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one job below one folder, which go as soon as nothing is made of them any more."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.folder, self.number = spark, new_folder(spark, purpose), 0
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        self.number += 1
+        path = f"{self.folder}/{self.number}-{purpose}"
+        df.write.parquet(path)
+        read = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(read)] = read, path
+        return read
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete tables that no frame in use reads; what was made of them has been written."""
+        for frame in frames:
+            _, path = self.paths.pop(id(frame))
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def drop_all(self, *but: DataFrame) -> None:
+        self.drop(*[frame for frame, _ in list(self.paths.values()) if all(frame is not b for b in but)])
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}

@@ -8,19 +8,20 @@ Prefixes. Shingles are ordered rare first, by the number of documents in their f
 n - ceil(0.8 n) + 1 of each. Prefix shingles that only one class has are dropped, and of those that the
 same classes have one stands for all, with their number as its weight.
 
-Candidates. In a group of classes with a common prefix shingle the first one is paired with the others that
-pass the length, positional and suffix filters; the last one is an upper bound of the overlap from bitmaps of the
-whole sets. Pairs are made distinct and are verified once on the whole sets. Links
-are merged into components. A class that has met its group leaves it; a group whose classes are all in one
-component needs no more pairs, for those could not change a component. After at most `STARS` such rounds
+Candidates. Two sets that link share at least t prefix shingles, t from their lengths. So, with the groups of a class in
+the order of their size, larger ones first, a pair need only be looked at in groups with which the weights of either class add
+up to t; the last one that they share is such a group. There the pair must pass the length and the positional filter. The distinct
+pairs meet bitmaps of their whole sets, an upper bound of the overlap (suffix filter), and those that are left are verified
+once on the whole sets. Links are merged into components.
+
+In each of `STARS` rounds the first class of every group is paired with the others and leaves the group; a group whose
+classes are all in one component needs no more pairs, for those could not change a component. Afterwards
 the classes outside a group's largest component are paired with the classes of other components. So
-the pairs within a large component are never expanded, and no link between components is lost. Two classes that
-have not met yet still share all their groups, and must share at least t prefix shingles to link; so a pair
-is made only in a group with which the weights of the larger ones of each of the two classes add up to t, which
-spares the largest groups.
+the pairs within a large component are never expanded, and no link between components is lost. The rounds are the same at
+every size; the tables of a round go when the next one has been written.
 
 Defined results: A-Z are lower-cased; a set of fewer than five words is the whole sequence; a null or
-blank text has no shingles and links with nothing; a null id belongs to no component and joins none; rows that
+blank text has no shingles and links with nothing; a null id belongs to no component and links nothing; rows that
 repeat an id stand for the same document; an empty table gives an empty result. Only `doc_id` and `text` are
 read. Texts are read whole.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.llm import tokens
-from presslens.llm.common import small, written
+from presslens.llm.common import Scratch, small, written
 
 SHINGLE = 5
 # Similarity as a fraction of whole numbers, so that the bound is exact.
@@ -44,10 +45,8 @@ BUCKETS = 1 << 18
 # Words of 64 bits in the bitmap of a set.
 SIGNS = 16
 BROADCAST_BYTES = 32 << 20
-# The remaining pairs are looked at together if they are at most so many times the rows that make them, or
-# after so many rounds in which each group met its first class.
-AT_ONCE = 8
-STARS = 3
+# Rounds in which each group meets its first class.
+STARS = 2
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -85,22 +84,27 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """(doc_id, key, n) of every row."""
+    """(doc_id, key, n, signs) of every row: its class, the size of its set, and a bitmap of it of fixed size."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tokens.parts(batches, 1):
             sets = _sets(batch.column(1))
+            signs = np.zeros((len(sets), SIGNS), np.uint64)
+            for row, s in zip(signs, sets):
+                np.bitwise_or.at(row, (s >> np.uint64(32)) % np.uint64(SIGNS), np.uint64(1) << (s >> np.uint64(58)))
+            ends = np.arange(len(sets) + 1, dtype=np.int32) * SIGNS
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([_key(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(signs.ravel().view(np.int64))),
                 ],
-                ["doc_id", "key", "n"],
+                ["doc_id", "key", "n", "signs"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(digest, f"doc_id {kind}, key long, n long")
+    return rows.mapInArrow(digest, f"doc_id {kind}, key long, n long, signs array<long>")
 
 
 def _frequencies(rows: DataFrame) -> np.ndarray:
@@ -151,28 +155,20 @@ def _prefixes(rows: DataFrame, frequencies) -> DataFrame:
     return rows.mapInArrow(cut, "shingle long, key long, n int, at int")
 
 
-def _members(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, members, signs) of the wanted classes: their shingles, and a bitmap of these of fixed size."""
+def _members(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, members) of the wanted classes: the shingles of one document of each."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tokens.parts(batches, 1):
             sets = [s for s in _sets(batch.column(1)) if len(s)]
-            signs = np.zeros((len(sets), SIGNS), np.uint64)
-            for row, s in zip(signs, sets):
-                np.bitwise_or.at(row, (s >> np.uint64(32)) % np.uint64(SIGNS), np.uint64(1) << (s >> np.uint64(58)))
-            ends = np.arange(len(sets) + 1, dtype=np.int32) * SIGNS
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_key(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(signs.ravel().view(np.int64))),
-                ],
-                ["key", "members", "signs"],
-            )
+            keys = pa.array([_key(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "members"])
 
-    made = rows.mapInArrow(collect, "key long, members binary, signs array<long>")
-    found = made.join(small(wanted, BROADCAST_BYTES), "key", "left_semi")
-    return found.groupBy("key").agg(F.first("members").alias("members"), F.first("signs").alias("signs"))
+    stands = classes.join(small(wanted, BROADCAST_BYTES), "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    read = rows.join(small(stands.select("doc_id").distinct(), BROADCAST_BYTES), "doc_id", "left_semi")
+    # An id may have several rows, of the same set or of others.
+    made = read.mapInArrow(collect, "key long, members binary").join(small(wanted, BROADCAST_BYTES), "key", "left_semi")
+    return made.groupBy("key").agg(F.first("members").alias("members"))
 
 
 def _bounded(n: Column, m: Column, x: str, y: str) -> Column:
@@ -182,6 +178,16 @@ def _bounded(n: Column, m: Column, x: str, y: str) -> Column:
     return (n - lacks(x, y) >= least) & (m - lacks(y, x) >= least)
 
 
+def _fitting(pairs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the suffix filter leaves; bitmaps come to the distinct pairs only."""
+    known = classes.join(small(wanted, BROADCAST_BYTES), "key", "left_semi")
+    known = known.groupBy("key").agg(F.first("n").alias("n"), F.first("signs").alias("signs"))
+    one = known.select(F.col("key").alias("a"), "n", "signs")
+    two = known.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("signs").alias("marks"))
+    both = pairs.join(one, "a").join(two, "b")
+    return both.where(_bounded(F.col("n"), F.col("m"), "signs", "marks")).select("a", "b")
+
+
 def _linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
 
@@ -199,37 +205,41 @@ def _linked(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(key, component) of all keys of links (a, b): each gets the smallest key that it is connected with.
 
     Every round points each key at the smallest one near it and then at what that one points at, as a join and
     an aggregation; both need only few rounds for long chains, and no key gathers its links.
     """
-    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    label = written(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("c")), "labels")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = scratch.written(both.distinct(), "edges")
+    label = scratch.written(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("c"), F.lit(True).alias("moved")), "labels")
     while True:
-        near = edges.join(label.select(F.col("a").alias("b"), F.col("c").alias("d")), "b").groupBy("a").agg(F.min("d").alias("d"))
+        old = label.select("a", "c")
+        near = edges.join(old.select(F.col("a").alias("b"), F.col("c").alias("d")), "b").groupBy("a").agg(F.min("d").alias("d"))
         # A smaller label near a key is also told to the label it had, so that whole trees hang over at once.
-        told = label.join(near, "a").select("a", "c", F.least("c", "d").alias("d"))
+        told = old.join(near, "a").select("a", "c", F.least("c", "d").alias("d"))
         hung = told.select("a", "d").unionByName(told.select(F.col("c").alias("a"), "d")).groupBy("a").agg(F.min("d").alias("d"))
         jumped = hung.join(hung.select(F.col("a").alias("d"), F.col("d").alias("e")), "d", "left")
         fresh = jumped.select("a", F.least("d", F.coalesce("e", "d")).alias("c"))
-        joined = label.withColumnRenamed("c", "old").join(fresh, "a")
-        new = written(joined.select("a", F.least("c", "old").alias("c"), (F.col("c") < F.col("old")).alias("moved")), "labels")
-        label = new.select("a", "c")
+        joined = old.withColumnRenamed("c", "old").join(fresh, "a")
+        new = scratch.written(joined.select("a", F.least("c", "old").alias("c"), (F.col("c") < F.col("old")).alias("moved")), "labels")
+        scratch.drop(label)
+        label = new
         if new.where("moved").isEmpty():
-            return label.select(F.col("a").alias("key"), F.col("c").alias("component"))
+            named = scratch.written(new.select(F.col("a").alias("key"), F.col("c").alias("component")), "components")
+            scratch.drop(edges, new)
+            return named
 
 
 def _passing(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) that pass the length, positional and suffix filters."""
+    """Distinct pairs (a, b) that pass the length and positional filters, from groups in which the pair must be met."""
     n, m = F.col("n"), F.col("m")
     least = F.ceil(OVER * (n + m) / F.lit(UNDER + OVER))
     # What is left behind the common shingle bounds the overlap, this shingle and those before it included.
-    first = F.least("at", "bt")
-    bound = 1 + first + F.least(n - F.col("at") - 1, m - F.col("bt") - 1)
+    bound = 1 + F.least("at", "bt") + F.least(n - F.col("at") - 1, m - F.col("bt") - 1)
     close = (UNDER * F.least(n, m) >= OVER * F.greatest(n, m)) & (bound >= least)
-    kept = pairs.where(close & _bounded(n, m, "signs", "marks"))
+    kept = pairs.where(close & (F.least("place", "spot") >= _least_common(n, m)))
     return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -243,93 +253,113 @@ def _least_common(n: Column, m: Column) -> Column:
 
 
 def _distinct_groups(groups: DataFrame) -> DataFrame:
-    """The groups (shingle, key, n, at) with different classes, with the number of shingles that each stands for.
+    """The groups (shingle, key, n, at) with different classes, with their size and the number of shingles that each
+    stands for as its weight.
 
     Groups are told apart by 128 bits of the hashes of their keys. Any shingle may stand for the others, since the
     filters hold at every common one.
     """
     marks = [F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    alike = groups.groupBy("shingle").agg(F.count("*").alias("held"), *marks)
-    stands = alike.groupBy("held", "x0", "x1").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
-    return groups.join(stands.select("shingle", "weight"), "shingle")
+    alike = groups.groupBy("shingle").agg(F.count("*").alias("size"), *marks)
+    stands = alike.groupBy("size", "x0", "x1").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
+    return groups.join(stands.select("shingle", "size", "weight"), "shingle")
 
 
-def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, component) of the classes that link with another class."""
-    rows, spark = _texts(docs), docs.sparkSession
-    sent = spark.sparkContext.broadcast(_frequencies(rows))
+def _groups(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(shingle, key, n, at, place) of the groups of classes; `place` is the weight of a class's groups up to this one."""
+    sent = rows.sparkSession.sparkContext.broadcast(_frequencies(rows))
     prefixes = _prefixes(rows, sent).groupBy("shingle", "key").agg(F.first("n").alias("n"), F.first("at").alias("at"))
     # A first look at the groups by their smallest and largest key, which is combined in each task.
     ends = _prefixes(rows, sent).groupBy("shingle").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    common = written(ends.where("low < high").select("shingle"), "shingles")
-    groups = written(prefixes.join(small(common, BROADCAST_BYTES), "shingle", "left_semi"), "groups")
-    members = written(_members(rows, written(groups.select("key").distinct(), "keys")), "members")
-    groups = written(_distinct_groups(groups), "groups")
-    signs = members.select("key", "signs")
-    links = spark.createDataFrame([], "a long, b long")
-    label = spark.createDataFrame([], "key long, component long")
+    common = scratch.written(ends.where("low < high").select("shingle"), "shingles")
+    groups = scratch.written(prefixes.join(small(common, BROADCAST_BYTES), "shingle", "left_semi"), "groups")
+    larger_first = Window.partitionBy("key").orderBy(F.desc("size"), "shingle")
+    placed = _distinct_groups(groups).withColumn("place", F.sum("weight").over(larger_first)).drop("size", "weight")
+    placed = scratch.written(placed, "groups")
+    scratch.drop(common, groups)
+    return placed
+
+
+def class_components(rows: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, component) of the classes that link with another class."""
+    groups = _groups(rows, scratch)
+    label = scratch.written(rows.sparkSession.createDataFrame([], "key long, component long"), "components")
     for number in range(STARS + 1):
-        # Before the first links each class is a component; afterwards the look-up is made once a round.
-        named = groups.withColumn("component", F.col("key"))
-        if number:
-            named = written(groups.join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "named")
-        # How many rows of each group lie outside the component that has most of them.
-        shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"), F.min("weight").alias("weight"))
-        kept = shares.groupBy("shingle").agg(
-            F.sum("c").alias("size"), F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"), F.min("weight").alias("weight")
-        )
-        # Groups of one component are done.
-        live = kept.where("parts > 1").select("shingle", "size", "weight", F.col("most.c").alias("c"), F.col("most.component").alias("most"))
-        live = written(live, "live")
-        rows_of = F.col("size") * F.col("weight")
-        size = live.agg(F.sum(rows_of), F.sum((F.col("size") - F.col("c")) * rows_of)).first()
-        if not size[0]:
-            return label
-        open_ = written(named.join(live.select("shingle", "most", "size"), "shingle"), "groups")
-        last = number == STARS or size[1] <= AT_ONCE * size[0]
-        if last:
+        named = groups.join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        named = scratch.written(named, "named")
+        # The component that has most rows of each group; groups of one component are done.
+        shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"))
+        kept = shares.groupBy("shingle").agg(F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"))
+        live = kept.where("parts > 1").select("shingle", F.col("most.component").alias("most"))
+        open_ = scratch.written(named.join(live, "shingle"), "open")
+        scratch.drop(groups, named)
+        if number == STARS:
             # Rows outside the largest component against all of other components; two that are both outside, once.
-            placed = open_.withColumn("place", F.sum("weight").over(Window.partitionBy("key").orderBy(F.desc("size"), "shingle")))
-            placed = placed.join(signs, "key")
-            renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"), ("signs", "marks"))
-            two = placed.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
-            outside = placed.where("component <> most").withColumnRenamed("key", "a")
+            renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"))
+            two = open_.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
+            outside = open_.where("component <> most").withColumnRenamed("key", "a")
             pairs = outside.join(two, "shingle").where("component <> other and (other = most or a < b)")
-            pairs = pairs.where(F.least("place", "spot") >= _least_common(F.col("n"), F.col("m")))
         else:
-            firsts = open_.groupBy("shingle").agg(F.min(F.struct("key", "n", "at", "component")).alias("f"))
-            first = firsts.select("shingle", F.col("f.key").alias("b"), F.col("f.n").alias("m"), F.col("f.at").alias("bt"), F.col("f.component").alias("other"))
-            marks = signs.select(F.col("key").alias("b"), F.col("signs").alias("marks"))
-            signed = open_.join(signs, "key").withColumnRenamed("key", "a")
-            pairs = signed.join(first.join(marks, "b"), "shingle").where("a <> b and component <> other")
-        found = written(_linked(written(_passing(pairs), "pairs"), members), "links")
-        links = links.unionByName(found)
-        label = components(links)
-        if last:
-            return label
-        groups = open_.join(first.select("shingle", "b"), "shingle").where("key <> b").select("shingle", "key", "n", "at", "weight")
-
-
-def join_report(docs: DataFrame) -> DataFrame:
-    """Per row of `docs` (doc_id, text) the size of its set and the smallest id that links lead to."""
-    classes = written(_classes(_texts(docs)), "classes")
-    label = class_components(docs, classes)
+            firsts = open_.groupBy("shingle").agg(F.min(F.struct("key", "n", "at", "component", "place")).alias("f"))
+            of_first = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"))
+            first = firsts.select("shingle", *(F.col(f"f.{c}").alias(d) for c, d in of_first))
+            met = open_.join(first, "shingle").where("key <> b")
+            pairs = met.withColumnRenamed("key", "a").where("component <> other")
+            groups = scratch.written(met.select("shingle", "key", "n", "at", "place"), "groups")
+        found = _links(scratch.written(_passing(pairs), "pairs"), rows, classes, scratch)
+        # What is connected already is told by one link for each class.
+        links = label.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(found)
+        old, label = label, components(links, scratch)
+        scratch.drop(old, found, open_)
+    return label
+
+
+def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """The links (a, b) among distinct pairs of classes."""
+
+    def keys(of: DataFrame) -> DataFrame:
+        return scratch.written(of.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+
+    wanted = keys(pairs)
+    fitting = scratch.written(_fitting(pairs, classes, wanted), "fitting")
+    left = keys(fitting)
+    found = scratch.written(_linked(fitting, _members(rows, classes, left)), "links")
+    scratch.drop(pairs, wanted, fitting, left)
+    return found
+
+
+def _report(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The report of `docs`, with nothing left in the scratch folder but what it reads."""
+    texts = _texts(docs)
+    classes = scratch.written(_classes(texts), "classes")
+    known = classes.where("doc_id IS NOT NULL")
+    label = class_components(texts.where("doc_id IS NOT NULL"), known, scratch)
     # Classes without a link to another are components of their own.
-    named = written(classes.join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "named")
+    named = classes.select("doc_id", "key", "n").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    named = scratch.written(named.select("doc_id", "n", "component"), "named")
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = named.where("n > 0").join(least, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
-    alone = classes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    scratch.drop_all(named)
     return joined.unionByName(alone)
 
 
+def join_report(docs: DataFrame) -> DataFrame:
+    """Per row of `docs` (doc_id, text) the size of its set and the smallest id that links lead to."""
+    return _report(docs, Scratch(docs.sparkSession, "jaccard"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their component, with all their columns.
 
     Rows without an id stay. An id that several rows have goes as soon as one of its texts is a
     copy of an earlier document.
     """
-    gone = join_report(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = small(written(gone, "gone"), BROADCAST_BYTES)
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    gone = _report(docs, scratch).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = written(gone, "gone")
+    scratch.drop_all()
+    gone = small(gone, BROADCAST_BYTES)
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

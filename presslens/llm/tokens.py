@@ -1,7 +1,8 @@
 """Words of Arrow text columns as 64-bit numbers, made with NumPy from the column's bytes.
 
 No Python object is made per word. A word's number is a sum of random values of its bytes, each times a
-random factor of its place, mixed at the end; `fold` gives A-Z the values of a-z.
+random factor of its place, mixed at the end; `fold` gives A-Z the values of a-z. The factors repeat after `PLACES`
+bytes, so every further part of so many bytes is mixed by itself, with its number, before it is added.
 """
 
 from __future__ import annotations
@@ -93,8 +94,17 @@ def _hashes(raw: np.ndarray, first: np.ndarray, values: np.ndarray) -> np.ndarra
     begin = np.zeros(len(raw), np.int64)
     begin[first] = first
     place = np.arange(len(raw)) - np.maximum.accumulate(begin)
-    place %= PLACES
-    return mixed(np.add.reduceat(values[raw] * _FACTORS[place], first))
+    weighted = values[raw] * _FACTORS[place % PLACES]
+    further = np.flatnonzero((place > 0) & (place % PLACES == 0))
+    if not len(further):
+        return mixed(np.add.reduceat(weighted, first))
+    cuts = np.union1d(first, further)
+    sums = np.add.reduceat(weighted, cuts)
+    part = (place[cuts] // PLACES).astype(np.uint64)
+    # White space behind a word adds nothing.
+    more = (part > 0) & (sums != 0)
+    sums[more] = mixed(sums[more] ^ mixed(part[more]))
+    return mixed(np.add.reduceat(sums, np.searchsorted(cuts, first)))
 
 
 def word_hashes(column: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:

@@ -8,8 +8,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from harness import compare, connect
 
@@ -22,10 +24,13 @@ from presslens.llm import (
     quality_rules,
     secrets,
     substring_dedup,
+    tokens,
     toxicity,
     warc,
 )
+from presslens.llm.common import Scratch
 from presslens.llm.queries import ORACLES, QUERIES
+from presslens.operators.sizing import shared_folder
 
 DIRECTORY = "/root/testdata/sf0.001"
 WIDE = "doc_id long, text string, lang string, source string, n_chars long"
@@ -386,9 +391,9 @@ def test_components_like_brute_force(spark, docs, texts):
     assert sorted(map(tuple, jaccard_join.join_report(docs).collect())) == components_by_force(texts)
 
 
-@pytest.mark.parametrize("at_once", [8, 0])
-def test_near_copies_chains_and_short_texts(spark, monkeypatch, at_once):
-    monkeypatch.setattr(jaccard_join, "AT_ONCE", at_once)
+@pytest.mark.parametrize("stars", [2, 0, 5])
+def test_near_copies_chains_and_short_texts(spark, monkeypatch, stars):
+    monkeypatch.setattr(jaccard_join, "STARS", stars)
     rng = random.Random(5)
     base = [f"w{k}" for k in range(60)]
     texts = []
@@ -408,10 +413,46 @@ def test_near_copies_chains_and_short_texts(spark, monkeypatch, at_once):
 
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(900, 901)], "a long, b long")
-    got = {r["key"]: r["component"] for r in jaccard_join.components(links).collect()}
+    got = {r["key"]: r["component"] for r in jaccard_join.components(links, Scratch(spark, "test")).collect()}
     assert got == {**{i: 1 for i in range(1, 201)}, 900: 900, 901: 900}
 
 
+def test_finished_tables_are_deleted(spark):
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    tables = lambda: {p.name.split("-", 1)[1] for p in set(folder.glob("presslens-jaccard-*/*")) - before}
+    before = set(folder.glob("presslens-jaccard-*/*"))
+    docs = made(spark, [" ".join(f"w{k + s}" for k in range(80)) for s in range(6)] * 2)
+    assert {r["component_id"] for r in jaccard_join.join_report(docs).collect()} == {0}
+    assert tables() == {"named"}
+    before |= set(folder.glob("presslens-jaccard-*/*"))
+    assert jaccard_join.keep_one(docs).count() == 1
+    assert tables() == set()
+
+
+# Long words
+
+LONG_WORDS = ["a" * 256 + "b", "b" + "a" * 256, "c" * 512 + "d", "d" + "c" * 255 + "c" * 257, "e" * 100_000 + "f", "f" + "e" * 100_000]
+
+
+def test_long_words_differ(spark):
+    column = pa.array([f"  {w} x\n{w}" for w in LONG_WORDS] + ["a" * 300 + " " * 900 + "b"])
+    numbers, rows = tokens.word_hashes(column)
+    assert len(set(numbers[rows[:-1][:6]].tolist())) == len(set(LONG_WORDS)) == 6
+    assert all(numbers[r] == numbers[r + 2] for r in rows[:6])
+    alone = tokens.word_hashes(pa.array(["a" * 300, "b"]))[0]
+    assert numbers[rows[6] : rows[7]].tolist() == alone.tolist()
+    texts = list(enumerate(LONG_WORDS))
+    got = jaccard_join.join_report(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == components_by_force(texts)
+    windows = made(spark, [" ".join([w] + [f"w{k}" for k in range(49)]) for w in LONG_WORDS])
+    assert {r["n_removed"] for r in substring_dedup.dedup_report(windows).collect()} == {0}
+    again = made(spark, [" ".join([w] * 50) for w in LONG_WORDS] * 2)
+    assert sorted((r["doc_id"], r["n_removed"]) for r in substring_dedup.dedup_report(again).collect()) == [(i, 50 * (i > 5)) for i in range(12)]
+    items = spark.createDataFrame([(k, f"{w} one two three four five six") for k, w in texts], "item_id long, text string")
+    found = decontamination.overlaps(made(spark, [f"so {w} one two three four five six then" for w in LONG_WORDS]), items)
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.where("n_agree = 7").collect()) == [(k, k) for k in range(6)]
+
+
 # Leaks
 
 
