@@ -10,15 +10,16 @@ same classes have one stands for all, with their number as its weight.
 
 Candidates. Two sets that link share at least t prefix shingles, t from their lengths. So, with the groups of a class in
 the order of their size, larger ones first, a pair need only be looked at in groups with which the weights of either class add
-up to t; the last one that they share is such a group. There the pair must pass the length and the positional filter. The distinct
-pairs meet bitmaps of their whole sets, an upper bound of the overlap (suffix filter), and those that are left are verified
+up to t; the last one that they share is such a group. There the pair must pass the length and the positional filter, and
+an upper bound of the overlap from bitmaps of the whole sets (suffix filter). Pairs are made distinct and are verified
 once on the whole sets. Links are merged into components.
 
-In each of `STARS` rounds the first class of every group is paired with the others and leaves the group; a group whose
-classes are all in one component needs no more pairs, for those could not change a component. Afterwards
-the classes outside a group's largest component are paired with the classes of other components. So
-the pairs within a large component are never expanded, and no link between components is lost. The rounds are the same at
-every size; the tables of a round go when the next one has been written.
+In each of `STARS` rounds a class of the largest component of every group stands for it, and each class outside is
+paired with two of those that it meets, so a round has at most two pairs a class. A group whose classes are all in one
+component needs no more pairs, for those could not change a component. Afterwards all classes outside a
+group's largest component are paired with the classes of other components. So the pairs within a large component are never
+expanded, and no link between components is lost. The rounds are the same at every size; the tables of a round go
+when the next one has been written.
 
 Defined results: A-Z are lower-cased; a set of fewer than five words is the whole sequence; a null or
 blank text has no shingles and links with nothing; a null id belongs to no component and links nothing; rows that
@@ -45,7 +46,7 @@ BUCKETS = 1 << 18
 # Words of 64 bits in the bitmap of a set.
 SIGNS = 16
 BROADCAST_BYTES = 32 << 20
-# Rounds in which each group meets its first class.
+# Rounds in which classes meet two others each, before all that is left is paired.
 STARS = 2
 
 
@@ -70,8 +71,8 @@ def _key(shingles: np.ndarray) -> int:
     """A digest of a set."""
     if not len(shingles):
         return 0
-    total = tokens.mixed(shingles ^ np.uint64(0x1234567)).sum() + np.uint64(len(shingles)) * tokens.GRAM[7]
-    return int(tokens.mixed(np.array([total]))[0].view(np.int64))
+    total = tokens.mixed(shingles ^ np.uint64(0x1234567)).sum(keepdims=True) + np.array([len(shingles)], np.uint64) * tokens.GRAM[7]
+    return int(tokens.mixed(total)[0].view(np.int64))
 
 
 def _least_overlap(n: int, m: int) -> int:
@@ -233,14 +234,17 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _passing(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) that pass the length and positional filters, from groups in which the pair must be met."""
+    """The rows that pass the length and positional filters, of groups in which the pair must be met."""
     n, m = F.col("n"), F.col("m")
     least = F.ceil(OVER * (n + m) / F.lit(UNDER + OVER))
     # What is left behind the common shingle bounds the overlap, this shingle and those before it included.
     bound = 1 + F.least("at", "bt") + F.least(n - F.col("at") - 1, m - F.col("bt") - 1)
     close = (UNDER * F.least(n, m) >= OVER * F.greatest(n, m)) & (bound >= least)
-    kept = pairs.where(close & (F.least("place", "spot") >= _least_common(n, m)))
-    return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.where(close & (F.least("place", "spot") >= _least_common(n, m)))
+
+
+def _distinct(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _least_common(n: Column, m: Column) -> Column:
@@ -287,33 +291,58 @@ def class_components(rows: DataFrame, classes: DataFrame, scratch: Scratch) -> D
     for number in range(STARS + 1):
         named = groups.join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
         named = scratch.written(named, "named")
-        # The component that has most rows of each group; groups of one component are done.
-        shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"))
-        kept = shares.groupBy("shingle").agg(F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"))
-        live = kept.where("parts > 1").select("shingle", F.col("most.component").alias("most"))
-        open_ = scratch.written(named.join(live, "shingle"), "open")
-        scratch.drop(groups, named)
-        if number == STARS:
-            # Rows outside the largest component against all of other components; two that are both outside, once.
-            renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"))
-            two = open_.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
-            outside = open_.where("component <> most").withColumnRenamed("key", "a")
-            pairs = outside.join(two, "shingle").where("component <> other and (other = most or a < b)")
+        # The component that has most rows of each group, and one of its classes; groups of one component are done.
+        star = F.min_by(F.struct("key", "n", "at", "place"), F.xxhash64("key", F.lit(number))).alias("star")
+        shares = named.groupBy("shingle", "component").agg(F.count("*").alias("c"), star)
+        kept = shares.groupBy("shingle").agg(F.max(F.struct("c", "component", "star")).alias("most"), F.count("*").alias("parts"))
+        live = kept.where("parts > 1").select("shingle", F.col("most.component").alias("most"), "most.c", "most.star")
+        outside = named.join(live, "shingle").where("component <> most").withColumnRenamed("key", "a")
+        if number < STARS:
+            of_star = (("key", "b"), ("n", "m"), ("at", "bt"), ("place", "spot"))
+            met = _passing(outside.select("a", "n", "at", "place", "c", *(F.col(f"star.{x}").alias(y) for x, y in of_star)))
+            # One partner from the largest component that a class meets, and one at random.
+            large = F.max_by("b", F.struct("c", "b")).alias("large")
+            other = F.min_by("b", F.xxhash64("b", F.lit(number))).alias("other")
+            chosen = met.groupBy("a").agg(large, other).select("a", F.explode(F.array("large", "other")).alias("b"))
+            pairs = _distinct(chosen)
         else:
-            firsts = open_.groupBy("shingle").agg(F.min(F.struct("key", "n", "at", "component", "place")).alias("f"))
-            of_first = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"))
-            first = firsts.select("shingle", *(F.col(f"f.{c}").alias(d) for c, d in of_first))
-            met = open_.join(first, "shingle").where("key <> b")
-            pairs = met.withColumnRenamed("key", "a").where("component <> other")
-            groups = scratch.written(met.select("shingle", "key", "n", "at", "place"), "groups")
-        found = _links(scratch.written(_passing(pairs), "pairs"), rows, classes, scratch)
+            pairs = _distinct(_outside_pairs(named, live, classes, scratch))
+        found = _links(scratch.written(pairs, "pairs"), rows, classes, scratch)
         # What is connected already is told by one link for each class.
         links = label.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(found)
         old, label = label, components(links, scratch)
-        scratch.drop(old, found, open_)
+        scratch.drop(old, found, named)
+    scratch.drop(groups)
     return label
 
 
+def _outside_pairs(named: DataFrame, live: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows outside the largest component against all of other components; two that are both outside, once.
+
+    Only rows that may have a partner at all, by the sizes and places of their group, get the bitmap of their class, with which the
+    pairs are filtered before they are made.
+    """
+    of_group = named.groupBy("shingle").agg(
+        F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("place").alias("top")
+    )
+    n, two = F.col("n"), F.col("rows") == 2
+    partner = F.col("low") + F.col("high") - n
+    most = F.when(two, partner).otherwise(F.least("high", F.floor(n * UNDER / F.lit(OVER))))
+    least = F.when(two, partner).otherwise(F.greatest("low", F.ceil(n * OVER / F.lit(UNDER))))
+    close = (UNDER * F.least(n, least) >= OVER * F.greatest(n, least)) & (UNDER * F.least(n, most) >= OVER * F.greatest(n, most))
+    shared = F.least(_least_common(n, least), _least_common(n, most))
+    may = named.join(of_group, "shingle").where(close & (F.least("place", "top") >= shared)).select(*named.columns)
+    may = scratch.written(may.join(live.select("shingle", "most"), "shingle"), "may")
+    keys = scratch.written(may.select("key").distinct(), "keys")
+    signs = classes.join(small(keys, BROADCAST_BYTES), "key", "left_semi").groupBy("key").agg(F.first("signs").alias("signs"))
+    signed = may.join(signs, "key")
+    renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"), ("signs", "marks"))
+    right = signed.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
+    left = signed.where("component <> most").withColumnRenamed("key", "a")
+    pairs = _passing(left.join(right, "shingle").where("component <> other and (other = most or a < b)"))
+    return pairs.where(_bounded(F.col("n"), F.col("m"), "signs", "marks"))
+
+
 def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """The links (a, b) among distinct pairs of classes."""
 
