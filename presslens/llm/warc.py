@@ -34,6 +34,8 @@ from presslens.llm.common import new_folder, written
 
 REVISIT_BYTES = 1000
 RANGE_BYTES = 4 << 20
+# Tasks that ranges are dealt to; beyond that a task has several.
+TASKS = 100_000
 CHUNK = 1 << 18
 MAGIC = b"\x1f\x8b\x08"
 _FILES = "path string, size long, records long"
@@ -229,8 +231,8 @@ def read_warc(files: DataFrame, folder: str, range_bytes: int = RANGE_BYTES, pay
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long")))
     ranges = files.where("size > 0").select("path", starts.alias("start"))
     ranges = ranges.select("path", "start", (F.col("start") + range_bytes).alias("end"))
-    # One range is a unit of work, and there are only as many rows as ranges.
-    return ranges.repartition(F.xxhash64("path", "start")).mapInArrow(read, schema)
+    # One range is a unit of work. The rows are tiny, so without a number of partitions they would all be one task.
+    return ranges.coalesce(1).repartition(max(1, min(ranges.count(), TASKS))).mapInArrow(read, schema)
 
 
 def archive(spark: SparkSession, pages: DataFrame) -> DataFrame:

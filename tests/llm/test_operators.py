@@ -15,6 +15,8 @@ import pyarrow as pa
 import pytest
 from harness import compare, connect
 
+from pyspark.sql import functions as F
+
 from presslens.llm import (
     decontamination,
     html_extraction,
@@ -564,6 +566,8 @@ def test_archive_round_trip(spark, tmp_path):
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
     folder = f"file://{tmp_path}/out"
     files = warc.write_warc(warc.plan_records(frame), folder)
+    ranges = warc.read_warc(files, folder, range_bytes=64).select(F.spark_partition_id().alias("p"))
+    assert ranges.distinct().count() > 8
     rows = warc.read_warc(files, folder, range_bytes=64, payloads=True).collect()
     assert len(rows) == len(pages)
     got = sorted((str(r["page_id"]), r["url"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in rows)
