@@ -91,13 +91,13 @@ def word_places(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _hashes(raw: np.ndarray, first: np.ndarray, values: np.ndarray) -> np.ndarray:
     if not len(first):
         return np.empty(0, np.uint64)
-    begin = np.zeros(len(raw), np.int64)
-    begin[first] = first
-    place = np.arange(len(raw)) - np.maximum.accumulate(begin)
+    raw, first = raw[first[0] :], first - first[0]
+    span = np.diff(first, append=len(raw))
+    place = np.arange(len(raw)) - np.repeat(first, span)
+    if span.max() <= PLACES:
+        return mixed(np.add.reduceat(values[raw] * _FACTORS[place], first))
     weighted = values[raw] * _FACTORS[place % PLACES]
     further = np.flatnonzero((place > 0) & (place % PLACES == 0))
-    if not len(further):
-        return mixed(np.add.reduceat(weighted, first))
     cuts = np.union1d(first, further)
     sums = np.add.reduceat(weighted, cuts)
     part = (place[cuts] // PLACES).astype(np.uint64)
