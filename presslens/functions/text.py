@@ -40,29 +40,6 @@ def ngrams_of_sizes(tokens: Column, sizes: Iterable[int]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def matching_ngrams(tokens: Column, spellings: Iterable[str]) -> Column:
-    """The n-grams of a word array that are among the spellings, each as often as it occurs.
-
-    Catalyst turns the lists into hash sets. A longer n-gram is only put together where its first word
-    starts some spelling, so an ordinary word costs one look-up per size.
-    """
-    by_size: dict[int, list[str]] = {}
-    for spelling in sorted(set(spellings)):
-        by_size.setdefault(len(spelling.split(" ")), []).append(spelling)
-
-    def of_size(n, wanted):
-        if n == 1:
-            return F.filter(tokens, lambda w: w.isin(wanted))
-        heads = sorted({s.split(" ")[0] for s in wanted})
-        marked = F.transform(tokens, lambda w, i: F.when(w.isin(heads), i))
-        starts = F.filter(marked, lambda i: i <= F.size(tokens) - n)
-        grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
-        return F.filter(grams, lambda g: g.isin(wanted))
-
-    parts = [of_size(n, wanted) for n, wanted in sorted(by_size.items())]
-    return F.concat(*parts) if parts else F.array().cast("array<string>")
-
-
 def spaced_words(text: Column) -> Column:
     """The words joined by single spaces, with one at each end, ready for `has_phrase`."""
     return F.concat(F.lit(" "), F.array_join(words(text), " "), F.lit(" "))

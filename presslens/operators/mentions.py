@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions import text as T
-from presslens.operators.sizing import bounded_values, broadcast_if_small, spread
+from presslens.operators.sizing import BROADCAST_ROWS, spread
 
-# Dictionary rows up to which spellings are looked up in a set inside the row.
-LOOKUP_ROWS = 20_000
+# Bits of the filter of first words per spelling, and the most bits it may have: beyond them it passes more
+# words on, which the join then drops.
+HEAD_BITS, MOST_BITS = 16, 1 << 24
 
 
 def article_lengths(articles: DataFrame, body: str = "body") -> DataFrame:
@@ -64,6 +65,29 @@ def token_counts(articles: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def first_words(names: DataFrame) -> DataFrame:
+    """The first word of every spelling and the sizes of the spellings that begin with it."""
+    pieces = F.split(F.col("variant"), " ", -1)
+    parts = names.select(F.get(pieces, F.lit(0)).alias("_head"), F.size(pieces).alias("_size"))
+    return parts.groupBy("_head").agg(F.array_sort(F.collect_set("_size")).alias("_sizes"))
+
+
+def _head_bit(word, bits: int):
+    return F.pmod(F.xxhash64(word), F.lit(bits).cast("long"))
+
+
+def head_filter(variants: DataFrame, bits: int) -> DataFrame:
+    """One row: an array of longs with a bit for the hash of every first word."""
+    at = _head_bit(F.split_part("variant", F.lit(" "), F.lit(1)), bits)
+    bit = F.expr("shiftleft(1L, CAST(_at % 64 AS INT))")
+    held = variants.select(at.alias("_at")).select(F.shiftright("_at", 6).alias("_place"), bit.alias("_bits"))
+    # Zero rows for all places, so that a place is an index.
+    spine = variants.sparkSession.range(bits // 64).select(F.col("id").alias("_place"), F.lit(0).cast("long").alias("_bits"))
+    cells = held.unionByName(spine).groupBy("_place").agg(F.bit_or("_bits").alias("_bits"))
+    laid = F.array_sort(F.collect_list(F.struct("_place", "_bits")))
+    return cells.agg(F.transform(laid, lambda cell: cell["_bits"]).alias("_filter"))
+
+
 def spelling_hits(
     articles: DataFrame,
     variants: DataFrame,
@@ -74,25 +98,43 @@ def spelling_hits(
 ) -> DataFrame:
     """One row per occurrence of a spelling and dictionary id it belongs to.
 
-    A dictionary of ordinary size is looked up inside the row, so only the hits are exploded; a larger
-    one is joined to all n-grams of its sizes. It is broadcast only when its counted rows allow it.
+    Only words that may begin a spelling leave their row: a filter of bits, a scalar subquery, drops nearly all
+    others. The words that follow come along, as many as the longest spelling has. The first words are
+    joined to the sizes of the spellings that begin with them, and the n-grams of just these sizes to the spellings.
+    Both sides are broadcast only when the counted rows of the dictionary allow it; the way is the same for all.
     `by_lang` uses the spellings of an article's own language only.
     """
     if match == "tokenized":
         variants = tokenized_variants(variants)
-    # Null and empty spellings occur in no text; both ways below would treat them differently.
+    # Null and empty spellings occur in no text.
     variants = variants.where("variant <> ''")
     keys = ["variant", "lang"] if by_lang else ["variant"]
     kept = list(dict.fromkeys([*keep, *keys[1:]]))
     names = variants.select(*keys, "kind", "entity_id").distinct()
-    known = names.select("variant").limit(LOOKUP_ROWS + 1).collect()
-    if len(known) <= LOOKUP_ROWS:
-        tokens = worded(articles, kept, body)
-        found = T.matching_ngrams(F.col("_words"), [row["variant"] for row in known])
-        hits = tokens.select(*kept, F.explode(found).alias("variant"))
-        return hits.join(F.broadcast(names), keys)
-    sizes = bounded_values(vocabulary(variants), "pieces")
-    return exploded_ngrams(articles, sizes, kept, body).join(broadcast_if_small(names), keys)
+    heads = first_words(names)
+    size = variants.agg(F.count("*"), F.max(T.piece_count(F.col("variant")))).first()
+    longest = size[1] or 1
+    bits = 64
+    while bits < min(HEAD_BITS * size[0], MOST_BITS):
+        bits *= 2
+    tokens = worded(articles, kept, body).withColumn("_filter", head_filter(variants, bits).scalar())
+
+    def may_begin(word):
+        at = _head_bit(word, bits)
+        return F.getbit(F.get(F.col("_filter"), F.shiftright(at, 6).cast("int")), at % 64) == 1
+
+    words = F.col("_words")
+    places = F.filter(F.transform(words, lambda w, i: F.when(may_begin(w), i)), lambda i: i.isNotNull())
+    windows = F.transform(places, lambda i: F.slice(words, i + 1, longest))
+    starts = tokens.select(*kept, F.explode(windows).alias("_window"))
+    starts = starts.withColumn("_head", F.get("_window", F.lit(0)))
+    if size[0] <= BROADCAST_ROWS:
+        heads, names = F.broadcast(heads), F.broadcast(names)
+    begun = starts.join(heads, "_head")
+    fitting = F.filter("_sizes", lambda n: n <= F.size("_window"))
+    grams = F.transform(fitting, lambda n: F.array_join(F.slice("_window", F.lit(1), n), " "))
+    hits = begun.select(*kept, F.explode(grams).alias("variant"))
+    return hits.join(names, keys)
 
 
 def spelling_counts(articles: DataFrame, variants: DataFrame, **options) -> DataFrame:

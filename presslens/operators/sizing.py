@@ -8,21 +8,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows up to which a dictionary-like side is broadcast; beyond it Spark shuffles the join.
+# Counted rows up to which a dictionary-like side is broadcast; beyond it Spark shuffles the join.
 BROADCAST_ROWS = 200_000
 # Text that `spread` may deal out.
 SPREAD_BYTES = 256 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side has at most `max_rows` rows.
-
-    The count stops at `max_rows + 1` rows. A larger side is returned without a hint, so that
-    Catalyst and AQE plan a shuffled join for it.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan with fewer splits than cores one partition per core.
 
@@ -66,11 +57,3 @@ def stored(df: DataFrame, purpose: str = "table") -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/presslens-{purpose}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def bounded_values(df: DataFrame, column: str, limit: int = 50_000) -> list:
-    """Sorted distinct values of a dictionary column, refusing anything larger than a dictionary."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values of {column}: not a dictionary")
-    return sorted(row[0] for row in rows)

@@ -85,12 +85,13 @@ def test_totals_without_a_source_and_without_a_match(spark):
     assert search.overlap_estimate(sets, ["xa"]).first()["overlap_share"] is None
 
 
-def test_dirty_dictionaries_look_up_alike(spark, monkeypatch):
-    variants = spark.createDataFrame([("kw", "a", "war"), ("kw", "b", None), ("kw", "c", "")], "kind string, entity_id string, variant string")
+def test_null_and_empty_spellings_are_found_nowhere(spark):
+    kinds = "kind string, entity_id string, variant string"
+    variants = spark.createDataFrame([("kw", "a", "war"), ("kw", "b", None), ("kw", "c", "")], kinds)
     articles = spark.createDataFrame([(1, "war and war"), (2, None)], "article_id long, body string")
-    few = sorted(map(tuple, mentions.spelling_hits(articles, variants, ["article_id"]).collect()))
-    monkeypatch.setattr(mentions, "LOOKUP_ROWS", 0)
-    assert len(few) == 2 and few == sorted(map(tuple, mentions.spelling_hits(articles, variants, ["article_id"]).collect()))
+    found = mentions.spelling_hits(articles, variants, ["article_id"]).collect()
+    assert sorted((r["article_id"], r["entity_id"]) for r in found) == [(1, "a"), (1, "a")]
+    assert mentions.spelling_hits(articles, variants.where("kind = 'x'"), ["article_id"]).count() == 0
 
 
 def test_words_in_strings_stay(spark):

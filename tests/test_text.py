@@ -118,13 +118,13 @@ def test_dates(spark):
     assert one(spark, DT.period_end(F.col("d"), "M"), d=day) == dt.date(2024, 12, 31)
 
 
-def test_large_dictionaries_take_the_join_and_give_the_same(spark, monkeypatch):
+def test_overlapping_spellings_with_and_without_a_broadcast(spark, monkeypatch):
     articles = spark.createDataFrame(
         [(1, "new york city and New York, york"), (2, "york"), (3, "city of")], "article_id long, body string"
     )
     rows = [("location", i, v) for i, v in [("a", "new york"), ("a", "york"), ("b", "new york city"), ("c", "city of")]]
     small = M.mentions(articles, spellings(spark, rows)).collect()
-    monkeypatch.setattr(M, "LOOKUP_ROWS", 1)
+    monkeypatch.setattr(M, "BROADCAST_ROWS", 1)
     large = M.mentions(articles, spellings(spark, rows)).collect()
     assert sorted(map(tuple, small)) == sorted(map(tuple, large))
     assert {(r["article_id"], r["entity_id"], r["n"]) for r in small} == {
@@ -132,6 +132,28 @@ def test_large_dictionaries_take_the_join_and_give_the_same(spark, monkeypatch):
     }
 
 
+def test_a_hundred_thousand_spellings(spark, monkeypatch):
+    # Spellings w0 to w49999, and pairs "wN w(N+1)" of them; texts count through the numbers.
+    number = F.col("id").cast("string")
+    one_word = spark.range(50_000).select(F.concat(F.lit("w"), number).alias("variant"), F.concat(F.lit("one"), number).alias("entity_id"))
+    two_words = spark.range(50_000).select(
+        F.concat(F.lit("w"), number, F.lit(" w"), (F.col("id") + 1).cast("string")).alias("variant"),
+        F.concat(F.lit("two"), number).alias("entity_id"),
+    )
+    variants = one_word.unionByName(two_words).select(F.lit("kw").alias("kind"), "entity_id", "variant")
+    texts = [(1, " ".join(f"w{i}" for i in range(49_000, 50_500))), (2, "w7 and w8, w9"), (3, "none of them")]
+    articles = spark.createDataFrame(texts, "article_id long, body string")
+    expected = {(1, f"one{i}"): 1 for i in range(49_000, 50_000)} | {(1, f"two{i}"): 1 for i in range(49_000, 50_000)}
+    expected |= {(2, "one7"): 1, (2, "one8"): 1, (2, "one9"): 1, (2, "two8"): 1}
+    hits = M.spelling_hits(articles, variants, ["article_id"])
+    # The spellings are tables of the plan, not values in it.
+    assert "w777" not in hits._jdf.queryExecution().toString()
+    for bits in (M.MOST_BITS, 64):
+        monkeypatch.setattr(M, "MOST_BITS", bits)
+        counted = M.mentions(articles, variants).collect()
+        assert {(r["article_id"], r["entity_id"]): r["n"] for r in counted} == expected
+
+
 def test_paywall_lists(spark):
     from presslens.functions import paywall
 
