@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.llm import tokens
@@ -234,7 +234,10 @@ def fit(texts: pa.Array, toxic: np.ndarray, odds: float | None = None) -> Chain:
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame) -> Chain:
-    """Fit on a bounded sample of labelled documents (doc_id, text; doc_id, toxic) that are not held out."""
+    """Fit on a bounded sample of labelled documents (doc_id, text; doc_id, toxic) that are not held out.
+
+    The bound is on rows, also where an id has several of them: at most SAMPLE rows of a class reach the one task.
+    """
     # At most 2 * SAMPLE ids are broadcast: those of each class with the smallest hashes.
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -244,8 +247,11 @@ def fit_chain(docs: DataFrame, labels: DataFrame) -> Chain:
     counts = dict(known.groupBy("toxic").count().collect())
     prior = counts[1] / counts[0] if counts.get(0) and counts.get(1) else None
     rows = docs.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(ids), "doc_id")
+    # An id may have many rows: SAMPLE rows of a class are kept, most of the others before they are shuffled.
+    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text")
+    rows = rows.select("doc_id", "text", "toxic").withColumn("_n", F.row_number().over(first))
     # Brought together by a shuffle, so that the documents are read in many tasks.
-    rows = rows.select("doc_id", "text", "toxic").repartition(1)
+    rows = rows.where(F.col("_n") <= SAMPLE).drop("_n").repartition(1)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pickle

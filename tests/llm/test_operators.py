@@ -653,3 +653,20 @@ def test_no_line_of_a_private_key_is_left(spark):
         assert not any(line[:16] in got[i][0] or line[-6:] in got[i][0] for line in body)
         assert want is None or got[i][0] == want
         assert got[i][1] == len(got[i][0])
+
+
+def test_rows_of_one_labelled_id_are_bounded_in_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 3)
+
+    def counting(texts, toxic, prior):
+        from types import SimpleNamespace
+
+        return SimpleNamespace(weights=toxic * 0, bias=0.0, moves=None, link=(float(len(texts)), float(toxic.sum())))
+
+    monkeypatch.setattr(toxicity, "fit", counting)
+    ids = [r["id"] for r in spark.range(40).where(~toxicity.held_out(F.col("id"))).collect()]
+    copies = [(ids[0], f"bad words {i}") for i in range(500)] + [(i, "good words here") for i in ids[1:]]
+    docs = spark.createDataFrame(copies, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == ids[0])) for i in ids], "doc_id long, toxic int")
+    # Three rows of either class, although one id has 500.
+    assert toxicity.fit_chain(docs, labels).link == (6.0, 3.0)
