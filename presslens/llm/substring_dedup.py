@@ -4,7 +4,8 @@ Naming. In `ROUNDS` rounds the symbols of every document are renamed: runs of on
 neighbours of which a coin of their names says left and right become one symbol. A name is a hash of
 what it stands for, so all tasks give the same name to the same run or pair and equal substrings get the same
 symbols inside, whatever surrounds them. For every symbol the words that it depends on are tracked. Of the last
-round, symbols smaller than both neighbours are anchors.
+round, symbols smaller than both neighbours are anchors. An anchor is named by the `CONTEXT` words around its middle, too,
+since a few common words in a row meet by chance in ever more documents as a corpus grows.
 
 Revealing. A Spark round counts in which documents each anchor name occurs. A window can only be a repeat
 if all anchors that depend on nothing outside it are shared by two documents (a window without such an
@@ -15,8 +16,8 @@ and the windows of later documents are joined with it. Documents equal to an ear
 their digest and send no windows.
 
 Nothing is grouped per name but smallest and largest ids, combined in each task; hot names and hot windows
-meet their occurrences in joins that AQE can split. What goes back to the documents is broadcast if it is
-below `BROADCAST_BYTES`, else joined by shuffle.
+meet their occurrences in joins that AQE can split. Windows meet by shuffle at every size; what goes back to the documents
+is broadcast if it is below `BROADCAST_BYTES`, else joined by shuffle.
 
 Defined results: a null or empty text has no words; texts shorter than a window lose nothing; a null id
 counts as larger than all others; rows that repeat an id never remove words from each other; an empty
@@ -40,6 +41,8 @@ WINDOW = 50
 ROUNDS = 4
 # Runs are named in so many of the first rounds; every such round widens what a symbol depends on.
 RUN_ROUNDS = 1
+# Words around the middle of an anchor that its name also stands for.
+CONTEXT = 28
 BROADCAST_BYTES = 32 << 20
 _LAST = (1 << 63) - 1
 _FAR = 1 << 60
@@ -104,7 +107,21 @@ def anchors(words: np.ndarray, rows: np.ndarray):
     least[1:-1] &= (names[1:-1] < names[:-2]) & (names[1:-1] < names[2:])
     low, high = _reach(low, high, row)
     at = np.flatnonzero(least)
-    return names[at], low[at], high[at], row[at]
+    return _in_context(words, rows, names[at], low[at], high[at], row[at])
+
+
+def _in_context(words: np.ndarray, rows: np.ndarray, names: np.ndarray, low: np.ndarray, high: np.ndarray, row: np.ndarray):
+    """The anchors whose context lies in their document, named by it and depending on it.
+
+    Where it would leave the document, the same anchor elsewhere may have another one, so such an anchor rules nothing out.
+    """
+    start = (low + high - CONTEXT) // 2
+    low, high = np.minimum(low, start), np.maximum(high, start + CONTEXT)
+    at = np.flatnonzero((low >= rows[row]) & (high <= rows[row + 1]))
+    start, named = start[at], names[at].copy()
+    for k in range(CONTEXT):
+        named += words[start + k] * tokens.GRAM[k + 2]
+    return tokens.mixed(named), low[at], high[at], row[at]
 
 
 def possible(low: np.ndarray, high: np.ndarray, shared: np.ndarray, n: int) -> np.ndarray:
@@ -206,7 +223,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     # Documents that repeat an earlier one as a whole.
     words = words_of(F.col("text"))
     digests = rows.select("key", "ord", F.md5(F.array_join(words, " ").cast("binary")).alias("md5"), F.size(words).alias("n"))
-    digests = digests.where(F.col("n") >= WINDOW)
+    # Written, since both sides of the join below read it.
+    digests = written(digests.where(F.col("n") >= WINDOW).select("key", "ord", "md5"), "digests")
     groups = digests.groupBy("md5").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
     copies = digests.join(groups, "md5").where(F.col("ord") > F.col("first")).select("key").distinct()
     # Anchors that two documents share go back to the documents.
@@ -220,9 +238,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     asked = rows.join(small(told, BROADCAST_BYTES), "key", "left").where(~F.coalesce("copied", F.lit(False)))
     windows = written(_windows(asked), "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last"))
-    # Written, so that it can be broadcast if it is small and else joined in a stage of its own, which AQE can split.
-    first = small(written(first.where("first < last").select("h1", "h2", "first"), "first"), BROADCAST_BYTES)
-    later = windows.join(first, ["h1", "h2"]).where(F.col("ord") > F.col("first"))
+    # Written, so that the join is a stage of its own, which AQE can split; it is shuffled at every size.
+    first = written(first.where("first < last").select("h1", "h2", "first"), "first")
+    later = windows.join(first.hint("shuffle_merge"), ["h1", "h2"]).where(F.col("ord") > F.col("first"))
     starts = later.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("at"))
     at = F.col("at")
     begun = F.filter(at, lambda x, i: F.coalesce(F.get(at, F.when(i > 0, i - 1)) != x - 1, F.lit(True)))
