@@ -1,10 +1,16 @@
 """LM scoring: a hashed maximum-entropy model with class-factored softmax.
 
 The probability of a word is that of its class after the words before it, times that of the word within its
-class. Classes are the end of a text, the most frequent words (one each), and groups of all other words by
-their last two bytes. The class probability is a softmax over sums of weights, one row of weights per
+class after the same words. Classes are the end of a text, the most frequent words (one each), and groups of all other
+words by their last two bytes. Every class probability is a softmax over sums of weights, one row of weights per
 hashed feature of the context: the word before, the two words before, and the words two and three places before
-(skips). Within a class a word has its smoothed share of the class's training tokens.
+(skips).
+
+Within a group the choice of the word is factored again, so that no softmax has more than `CLASSES` members: the words are
+numbered by frequency, and each digit of the number, to the base `CLASSES`, is drawn by a softmax of its own, whose rows of
+weights are hashed from the feature and from the group and digits before. There are as many digits as the largest group
+asks for, and the `SHORT` smallest numbers have the first digit only. The number 0 of a group stands for its words below the head (see below) and an unknown one,
+too rare to learn where they stand; only among these a word has its smoothed share of the group's training tokens.
 
 Counting. Spark counts all words of the training documents; the counts stay a table. The words above the count
 at which at most `HEAD` words are left are looked up in each task, all others in a join with the table.
@@ -12,7 +18,7 @@ at which at most `HEAD` words are left are looked up in each task, all others in
 Training. In `ROUNDS` rounds, each over its own share of all training documents, every task starts with the
 same weights, takes gradient steps over its documents, and sends the change of each row of weights
 with the tokens that it saw for it. Spark adds these up by row, and the rows move by the mean change. The model
-has `FEATURES` rows however large the corpus is.
+has `FEATURES` rows for the classes and as many for the digits, however large the corpus is.
 
 Words are known by 64-bit hashes. Scores are base-10 logarithms.
 
@@ -44,8 +50,13 @@ CLASSES = 32
 FREQUENT = 11
 GROUPS = CLASSES - FREQUENT - 1
 ROUNDS = 2
-BATCH = 8192
+BATCH = 16384
+# Digits of a word's number within its group, at most, and how many numbers are told by the first alone.
+DIGITS = 3
+SHORT = 12
 RATE = 0.15
+# How often a row of weights is met in a batch before its further slopes are added up by themselves.
+LAYERS = 8
 END = np.uint64(1)
 START = np.uint64(2)
 # Distinct words that a task holds before it sends their counts on.
@@ -104,20 +115,88 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Weights, the classes of frequent words, the sizes of classes, and the counts of the head."""
+    """Weights, the classes of frequent words, the sizes of classes, and the counts and numbers of the head."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens_: int, distinct: int):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, groups: np.ndarray, tokens_: int, distinct: int):
         order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order].astype(float)
+        self.words, self.counts, groups = words[order], counts[order].astype(float), groups[order].astype(np.int64)
         self.tokens, self.distinct = tokens_, distinct
         self.total = tokens_ + ADDED * (distinct + 1)
-        inner = words != END
+        inner = self.words != END
         # The most frequent words, ties by hash.
-        best = np.lexsort((words[inner], -counts[inner]))[:FREQUENT]
-        self.own = np.sort(words[inner][best])
+        best = np.lexsort((self.words[inner], -self.counts[inner]))[:FREQUENT]
+        self.own = np.sort(self.words[inner][best])
         self.size = np.full(CLASSES, ADDED)
-        self.weights = np.zeros((FEATURES, CLASSES), np.float32)
-        self.bias = np.zeros(CLASSES, np.float32)
+        self.weights = np.zeros((2 * FEATURES, CLASSES), np.float32)
+        self._number(groups, np.flatnonzero(inner & ~np.isin(self.words, self.own)))
+
+    def _number(self, groups: np.ndarray, at: np.ndarray) -> None:
+        """Number the words `at` within their groups by falling count, from 1; what is left has 0."""
+        at = at[np.lexsort((self.words[at], -self.counts[at], groups[at]))]
+        first = np.searchsorted(groups[at], np.arange(GROUPS))
+        number = np.arange(len(at)) - first[groups[at]] + 1
+        self.digits = 1
+        while self.digits < DIGITS and SHORT + (CLASSES - SHORT) * self.unit <= number.max(initial=0):
+            self.digits += 1
+        number[number >= SHORT + (CLASSES - SHORT) * self.unit] = 0
+        self.numbers = np.zeros(len(self.words), np.int64)
+        self.numbers[at] = number
+        self.groups = groups
+
+    @property
+    def unit(self) -> int:
+        """How many numbers share a first digit."""
+        return CLASSES ** (self.digits - 1)
+
+    def coded(self, numbers: np.ndarray) -> np.ndarray:
+        """Numbers as their digits, the first one in front of zeros if it stands alone."""
+        return np.where(numbers < SHORT, numbers * self.unit, SHORT * self.unit + numbers - SHORT)
+
+    def weigh(self) -> None:
+        """Biases of all softmaxes, from the sizes of classes and the counts: without weights a word has its share."""
+        mass = np.zeros((GROUPS, CLASSES**self.digits))
+        at = np.flatnonzero(self.numbers)
+        np.add.at(mass, (self.groups[at], self.coded(self.numbers[at])), self.counts[at] + ADDED)
+        # Words without a number, and a place for an unknown one.
+        mass[:, 0] = self.rest = np.maximum(self.size[FREQUENT + 1 :] - mass.sum(1), ADDED)
+        bias = [self.size[None, :]]
+        for digit in range(self.digits):
+            bias.append(mass.reshape(GROUPS * CLASSES**digit, CLASSES, -1).sum(2))
+        bias = np.concatenate(bias)
+        self.bias = np.log(np.maximum(bias, 1e-12) / np.maximum(bias.sum(1, keepdims=True), 1e-12)).astype(np.float32)
+
+    def known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words are in the head, and whether they are."""
+        if not len(self.words):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return at, self.words[at] == words
+
+    def choices(self, stream: np.ndarray, group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Each softmax that the tokens are drawn by: token, rows of weights, softmax and the member drawn; the classes and
+        numbers of all tokens. The classes of all tokens come first, then their digits, first to last."""
+        classes, contexts = self.classes(stream, group), self.contexts(stream, rows)
+        words, place = np.unique(stream, return_inverse=True)
+        at, found = self.known(words)
+        numbers = np.where(found, self.numbers[at], 0)[place] if len(self.words) else np.zeros(len(stream), np.int64)
+        inside = np.flatnonzero(classes > FREQUENT)
+        chosen, kind = self.coded(numbers[inside]), classes[inside] - FREQUENT - 1
+        token, drawn, softmax = [np.arange(len(stream))], [classes], [np.zeros(len(stream), np.int64)]
+        features, first = [self.hashed(contexts).astype(np.int32)], 1
+        for digit in range(self.digits):
+            left = CLASSES ** (self.digits - digit)
+            node = first + kind * CLASSES**digit + chosen // left
+            first += GROUPS * CLASSES**digit
+            salted = (contexts[inside] + node.astype(np.uint64)[:, None] * tokens.GRAM[9]) * tokens.GRAM[10]
+            features.append(FEATURES + self.hashed(salted).astype(np.int32))
+            token.append(inside)
+            softmax.append(node)
+            drawn.append(chosen * CLASSES // left % CLASSES)
+            if not digit:
+                longer = numbers[inside] >= SHORT
+                inside, chosen, kind = inside[longer], chosen[longer], kind[longer]
+        made = (np.concatenate(x) for x in (token, features, softmax, drawn))
+        return *made, classes, numbers
 
     def classes(self, stream: np.ndarray, group: np.ndarray) -> np.ndarray:
         """The class of each token: 0 for the end, then the frequent words, then the groups."""
@@ -130,8 +209,13 @@ class Model:
         return found
 
     @staticmethod
-    def features(stream: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Rows of weights for the context of each token (tokens x 4)."""
+    def hashed(contexts: np.ndarray) -> np.ndarray:
+        """Rows of weights of contexts."""
+        return (contexts >> np.uint64(64 - 15)).astype(np.uint16)
+
+    @staticmethod
+    def contexts(stream: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The features of the context of each token (tokens x 4), as hashes."""
         before = []
         for back in (1, 2, 3):
             word = np.full(len(stream), START, np.uint64)
@@ -148,32 +232,41 @@ class Model:
             tokens.mixed(two + np.uint64(13)),
             tokens.mixed(three + np.uint64(17)),
         ]
-        return np.stack([(f >> np.uint64(64 - 15)).astype(np.uint16) for f in found], 1)
+        return np.stack(found, 1)
 
-    def log_shares(self, features: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the class probabilities (tokens x classes)."""
-        total = self.weights[features[:, 0]] + self.bias
+    def log_shares(self, features: np.ndarray, softmax: np.ndarray | int = 0) -> np.ndarray:
+        """Natural logarithms of the probabilities of a softmax's members (tokens x classes); the first is that of classes."""
+        total = self.weights.take(features[:, 0], 0) + self.bias[softmax]
         for k in range(1, features.shape[1]):
-            total += self.weights[features[:, k]]
+            total += self.weights.take(features[:, k], 0)
         total -= total.max(1, keepdims=True)
         total -= np.log(np.exp(total).sum(1, keepdims=True))
         return total
 
-    def train(self, features: np.ndarray, classes: np.ndarray, past: np.ndarray, seen: np.ndarray) -> None:
-        """Gradient steps over batches of tokens, scaled per weight by past gradients."""
-        for a in range(0, len(classes), BATCH):
-            f, c = features[a : a + BATCH], classes[a : a + BATCH]
-            slope = -np.exp(self.log_shares(f))
+    def train(self, features: np.ndarray, softmax: np.ndarray, drawn: np.ndarray, past: np.ndarray, seen: np.ndarray) -> None:
+        """Gradient steps over batches, scaled per weight by past gradients."""
+        for a in range(0, len(drawn), BATCH):
+            f, c = features[a : a + BATCH], drawn[a : a + BATCH]
+            slope = -np.exp(self.log_shares(f, softmax[a : a + BATCH]))
             slope[np.arange(len(c)), c] += 1
-            flat = f.ravel()
+            flat = f.astype(np.uint16).ravel()
             order = np.argsort(flat, kind="stable")
             rows = flat[order]
             first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-            used = rows[first]
-            step = np.add.reduceat(slope[order // f.shape[1]], first)
-            past[used] += step * step
-            self.weights[used] += RATE * step / np.sqrt(past[used])
-            seen[used] += np.diff(np.append(first, len(rows)))
+            met = np.diff(np.append(first, len(rows)))
+            # Rows met most come first, so that those met again are always the first ones.
+            most = np.argsort(-met, kind="stable")
+            used, first, met, token = rows[first[most]], first[most], met[most], order // f.shape[1]
+            step = slope.take(token[first], 0)
+            for again in range(1, LAYERS):
+                more = int(np.searchsorted(-met, -again))
+                step[:more] += slope.take(token[first[:more] + again], 0)
+            for k in range(int(np.searchsorted(-met, -LAYERS + 1))):
+                step[k] += slope.take(token[first[k] + LAYERS : first[k] + met[k]], 0).sum(0)
+            gathered = past.take(used, 0) + step * step
+            past[used] = gathered
+            self.weights[used] += RATE * step / np.sqrt(gathered)
+            seen[used] += met
 
 
 def _train_round(rows: DataFrame, model: Model) -> None:
@@ -185,18 +278,20 @@ def _train_round(rows: DataFrame, model: Model) -> None:
         start = sent.value
         own = object.__new__(Model)
         own.__dict__.update(start.__dict__, weights=start.weights.copy())
-        past, seen = np.ones((FEATURES, CLASSES), np.float32), np.zeros(FEATURES, np.int64)
+        past, seen = np.ones((2 * FEATURES, CLASSES), np.float32), np.zeros(2 * FEATURES, np.int64)
         for batch in tokens.parts(batches, 0):
             stream, group, borders = _stream(batch.column(0))
-            own.train(own.features(stream, borders), own.classes(stream, group), past, seen)
+            _, features, softmax, drawn, *_ = own.choices(stream, group, borders)
+            own.train(features, softmax, drawn, past, seen)
         used = np.flatnonzero(seen)
         moved = (own.weights[used] - start.weights[used]) * seen[used, None].astype(np.float32)
         columns = [pa.array(used.astype(np.int32)), pa.array(seen[used])]
         yield pa.RecordBatch.from_arrays([*columns, *(pa.array(moved[:, k]) for k in range(CLASSES))], ["row", "seen", *names])
 
     made = rows.select("text").mapInArrow(change, "row int, seen long, " + ", ".join(f"{n} float" for n in names))
-    # At most FEATURES rows reach the driver.
-    summed = made.groupBy("row").agg(F.sum("seen").alias("seen"), *[F.sum(n).alias(n) for n in names]).toPandas()
+    # At most twice FEATURES rows reach the driver.
+    added = made.groupBy("row").agg(F.sum("seen").alias("seen"), *[F.sum(n).cast("float").alias(n) for n in names])
+    summed = added.toArrow().to_pandas()
     if len(summed):
         at = summed["row"].to_numpy()
         model.weights[at] += (summed[names].to_numpy() / summed[["seen"]].to_numpy()).astype(np.float32)
@@ -214,15 +309,16 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
         if left < 0:
             break
         least = r["c"]
-    head = vocabulary.where(F.col("c") >= (least if least is not None else F.lit(None))).select("word", "c").toPandas()
-    model = Model(head["word"].to_numpy().astype(np.int64).view(np.uint64), head["c"].to_numpy(), total[0] or 0, total[1])
+    head = vocabulary.where(F.col("c") >= (least if least is not None else F.lit(None))).select("word", "group", "c").toArrow().to_pandas()
+    words, counts, groups = (head[x].to_numpy().astype(np.int64) for x in ("word", "c", "group"))
+    model = Model(words.view(np.uint64), counts, groups, total[0] or 0, total[1])
     own = F.array(*[F.lit(int(w)) for w in model.own.view(np.int64)]) if len(model.own) else F.array().cast("array<long>")
     place = F.array_position(own, F.col("word")).cast("int")
     kind = F.when(F.col("word") == int(END), 0).when(place > 0, place).otherwise(F.col("group") + 1 + FREQUENT)
     for r in vocabulary.groupBy(kind.alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
         # A group of words keeps a place for an unknown one.
         model.size[r["k"]] = r["c"] + ADDED * (r["v"] + (r["k"] > FREQUENT))
-    model.bias = np.log(model.size / model.size.sum()).astype(np.float32)
+    model.weigh()
     part = (_crc(F.col("doc_id")) / FOLDS).cast("long") % ROUNDS
     for number in range(ROUNDS):
         _train_round(rows.where(part == number), model)
@@ -240,20 +336,24 @@ def score(docs: DataFrame, model: Model, tail: DataFrame) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, number = sent.value, TaskContext.get().partitionId() << 33
         scale = np.log10(own.total) - np.log10(own.size)
+        rest = np.log10(own.total) - np.log10(own.rest)
         for batch in tokens.parts(batches, 2):
             stream, group, borders = _stream(batch.column(2))
             n, sizes = batch.num_rows, np.diff(borders)
             row = np.repeat(np.arange(n), sizes)
-            classes, features = own.classes(stream, group), own.features(stream, borders)
-            gain = np.empty(len(stream))
-            for a in range(0, len(stream), BATCH):
-                c = classes[a : a + BATCH]
-                gain[a : a + BATCH] = own.log_shares(features[a : a + BATCH])[np.arange(len(c)), c] / np.log(10)
-            gain += scale[classes]
+            token, features, softmax, drawn, classes, numbers = own.choices(stream, group, borders)
+            shares = np.empty(len(token))
+            for a in range(0, len(token), BATCH):
+                c = drawn[a : a + BATCH]
+                shares[a : a + BATCH] = own.log_shares(features[a : a + BATCH], softmax[a : a + BATCH])[np.arange(len(c)), c]
+            gain = np.bincount(token, shares, len(stream)) / np.log(10)
             words, place = np.unique(stream, return_inverse=True)
-            at = np.minimum(np.searchsorted(own.words, words), max(len(own.words) - 1, 0))
-            known = own.words[at] == words if len(own.words) else np.zeros(len(words), bool)
+            at, known = own.known(words)
             logs = np.where(known, np.log10(own.counts[at] + ADDED), 0.0) if len(own.words) else np.zeros(len(words))
+            # The token's share among all that the last softmax leaves: a numbered word is alone.
+            alone = (numbers > 0) & (classes > FREQUENT)
+            left = np.where(classes > FREQUENT, rest[np.maximum(classes - FREQUENT - 1, 0)], scale[classes])
+            gain += np.where(alone, np.log10(own.total) - logs[place], left)
             key = number + np.arange(n)
             number += n
             empty = lambda kind, size=n: pa.nulls(size, kind)
@@ -273,8 +373,8 @@ def score(docs: DataFrame, model: Model, tail: DataFrame) -> DataFrame:
                 names,
             )
             # Words that are not in the head, once per row.
-            rest = np.flatnonzero(~known[place])
-            pairs, count = np.unique(row[rest] * len(words) + place[rest], return_counts=True)
+            below = np.flatnonzero(~known[place])
+            pairs, count = np.unique(row[below] * len(words) + place[below], return_counts=True)
             m, word = len(pairs), words[pairs % len(words)].view(np.int64)
             nothing = [pa.nulls(m, c.type) for c in (batch.column(0), batch.column(1))]
             more = [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
