@@ -134,3 +134,45 @@ def best_in(queries: list[str], choices: list[str], labels: list[str]) -> list[t
                     same.append(at)
                 found[batch[row]] = (min(same, key=labels.__getitem__), top)
     return found
+
+
+def best_both_ways(a: list[str], b: list[str], labels_a: list[str], labels_b: list[str], settled_a, settled_b):
+    """For every text of `a` the index and similarity of the most similar one of `b`, and the reverse.
+
+    As `best_in` in both directions, but a common subsequence is found once for both. Settled texts get no result, but
+    are choices of the others. Pairs are left out in whole rows of a block, where neither text can gain.
+    """
+    rank_a, rank_b = (np.argsort(np.array(sorted(range(len(x)), key=x.__getitem__), np.int64)) for x in (labels_a, labels_b))
+    # Similarity and the rank of the label, which ties go to.
+    top_a, top_b = (np.where(np.array(s, bool), 2.0, -1.0) for s in (settled_a, settled_b))
+    first_a, first_b = np.full(len(a), len(b)), np.full(len(b), len(a))
+    blocks, asked = blocks_of([code_points(x) for x in b]), [code_points(x) for x in a]
+    lengths = np.array([len(x) for x in asked], dtype=np.int64)
+    size = max(1, BATCH_WORDS // max((x.words * len(x.at) for x in blocks), default=1))
+    order = np.argsort(lengths, kind="stable")
+    for start in range(0, len(order), size):
+        batch = order[start : start + size]
+        n = lengths[batch][:, None]
+        bounds = [2.0 * np.minimum(x.lengths, n) / np.maximum(x.lengths + n, 1) for x in blocks]
+        for number in sorted(range(len(blocks)), key=lambda i: -float(bounds[i].max())):
+            block, at = blocks[number], blocks[number].at
+            rows = np.flatnonzero((bounds[number] >= np.minimum(top_a[batch][:, None], top_b[at])).any(axis=1))
+            if not len(rows):
+                continue
+            shared = block.common_subsequences([asked[i] for i in batch[rows]])
+            scores = 2.0 * shared / np.maximum(block.lengths + n[rows], 1)
+            _better(top_a, first_a, batch[rows], scores, rank_b[at])
+            _better(top_b, first_b, at, scores.T, rank_a[batch[rows]])
+    by_rank_a, by_rank_b = np.argsort(rank_a), np.argsort(rank_b)
+    forth = [(int(by_rank_b[r]), float(t)) if r < len(b) else (-1, -1.0) for r, t in zip(first_a, top_a)]
+    back = [(int(by_rank_a[r]), float(t)) if r < len(a) else (-1, -1.0) for r, t in zip(first_b, top_b)]
+    return forth, back
+
+
+def _better(top: np.ndarray, first: np.ndarray, at: np.ndarray, scores: np.ndarray, ranks: np.ndarray) -> None:
+    """Move the texts `at` on to better scores (a row each), and at equal ones to the smallest rank."""
+    best = scores.max(axis=1)
+    rank = np.where(scores == best[:, None], ranks, np.iinfo(np.int64).max).min(axis=1)
+    rank = np.where(best == top[at], np.minimum(rank, first[at]), rank)
+    gained = best >= top[at]
+    top[at[gained]], first[at[gained]] = best[gained], rank[gained]

@@ -128,6 +128,65 @@ def best_matches(
     )
 
 
+def _both_of_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    names = ["_side", "_block", "_norm", "_match", "_score"]
+    if left.empty or right.empty:
+        return pd.DataFrame({name: [] for name in names})
+    sides = [(x, x["_norm"].tolist(), x["_text"].tolist(), x["_settled"].to_numpy()) for x in (left, right)]
+    (_, a, of_a, done_a), (_, b, of_b, done_b) = sides
+    found = similarity.best_both_ways(a, b, of_a, of_b, done_a, done_b)
+    rows = [
+        (side, block, text, labels[at], score)
+        for side, (frame, texts, _, done), labels, best in zip((0, 1), sides, (of_b, of_a), found)
+        for block, text, settled, (at, score) in zip(frame["_block"], texts, done, best)
+        if not settled
+    ]
+    return pd.DataFrame(rows, columns=names)
+
+
+def best_matches_both_ways(
+    a: DataFrame, b: DataFrame, text_a: str, text_b: str, block: str | None = None, cell: int = CELL_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """`best_matches` of `a` among `b` and of `b` among `a`, for which every pair is compared once, not twice."""
+    key = F.col(block).cast("string") if block else F.lit("")
+    sides = [(a, text_a), (b, text_b)]
+    asked = [x.withColumns({"_block": key, "_norm": similarity.normalized(F.col(text))}) for x, text in sides]
+    texts = [
+        cut_lineage(x.where(F.col(text).isNotNull()).groupBy("_block", "_norm").agg(F.min(text).alias("_text")))
+        for x, (_, text) in zip(asked, sides)
+    ]
+    facing = [x.select("_block", "_norm", F.col("_text").alias("_match")) for x in reversed(texts)]
+    equal = [x.where("_norm <> ''").join(y, ["_block", "_norm"]) for x, y in zip(texts, facing)]
+    equal = [x.select("_block", "_norm", "_match", F.lit(1.0).alias("_score")) for x in equal]
+    flags = [x.select("_block", "_norm", F.lit(True).alias("_found")) for x in equal]
+    dealt = [
+        x.join(y, ["_block", "_norm"], "left").withColumn("_settled", F.coalesce("_found", F.lit(False))).drop("_found")
+        for x, y in zip(texts, flags)
+    ]
+    cells = ["_block", "_row", "_column"]
+    # As in `best_matches`: tasks must not be merged.
+    spark = a.sparkSession
+    tasks = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    left = _cells(dealt[0], dealt[1], "_row", "_column", cell).repartition(tasks, *cells)
+    right = _cells(dealt[1], dealt[0], "_column", "_row", cell).repartition(tasks, *cells)
+    best = (
+        left.groupBy(*cells)
+        .cogroup(right.groupBy(*cells))
+        .applyInPandas(_both_of_cell, "_side int, _block string, _norm string, _match string, _score double")
+    )
+    pick = F.min_by(F.struct("_match", "_score"), F.struct(-F.col("_score"), F.col("_match")))
+    # Read by both directions, so it is computed once.
+    nearest = cut_lineage(best.groupBy("_side", "_block", "_norm").agg(pick.alias("_best")))
+    results = []
+    for side in (0, 1):
+        own = nearest.where(F.col("_side") == side).select("_block", "_norm", "_best._match", "_best._score")
+        matched = asked[side].join(equal[side].unionByName(own), ["_block", "_norm"], "left")
+        score = F.bround(F.col("_score") * 100).cast("int")
+        named = matched.withColumns({"matched_title": F.col("_match"), "matched_score": score})
+        results.append(named.drop("_block", "_norm", "_match", "_score"))
+    return results[0], results[1]
+
+
 def score_bands(df: DataFrame, score: str, key: str, k: int = 5) -> DataFrame:
     """k rows per score band (0, 10], (10, 20], …, picked by the hash of their key.
 

@@ -77,8 +77,7 @@ def _fuzzy_sql(words: int = 4, bits: int = 120) -> str:
 def headline_fuzzy_top1(spark, directory):
     titles = _titles(spark, directory)
     headlines = _headlines(spark, directory)
-    forth = H.best_matches(titles, headlines, "title", "headline")
-    back = H.best_matches(headlines, titles, "headline", "title")
+    forth, back = H.best_matches_both_ways(titles, headlines, "title", "headline")
     return forth.select(
         F.lit("title").alias("side"), F.col("article_id").alias("id"), "matched_title", "matched_score"
     ).unionByName(

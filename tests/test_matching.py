@@ -88,3 +88,34 @@ def test_score_bands_are_closed_on_the_right(spark):
         (1, 1), (10, 1), (11, 2), (30, 3),
     }
     assert all(r["score"] > 0 for r in bands)
+
+
+def test_both_ways_at_once_like_each_alone(spark):
+    rng = random.Random(8)
+    words = "war peace talks river flood price bread north south town".split()
+
+    def made(n):
+        return [" ".join(rng.choice(words) for _ in range(rng.randint(0, 6))) + rng.choice(["", "!"]) for _ in range(n)] + [None]
+
+    left, right = made(40), made(30)
+    right[:4] = left[:4]
+    a = headlines(spark, [(i, "xy"[i % 2], t) for i, t in enumerate(left)], "title")
+    b = headlines(spark, [(i, "xy"[i % 2], t) for i, t in enumerate(right)], "headline")
+    for block in (None, "lang"):
+        forth, back = H.best_matches_both_ways(a, b, "title", "headline", block=block, cell=8)
+        assert sorted(forth.collect(), key=str) == sorted(H.best_matches(a, b, "title", "headline", block=block).collect(), key=str)
+        assert sorted(back.collect(), key=str) == sorted(H.best_matches(b, a, "headline", "title", block=block).collect(), key=str)
+
+
+def test_pairs_are_compared_once_for_both_ways(monkeypatch):
+    compared = []
+    plain = similarity.Block.common_subsequences
+    monkeypatch.setattr(
+        similarity.Block, "common_subsequences", lambda self, queries: compared.append(len(queries) * len(self.at)) or plain(self, queries)
+    )
+    a, b = texts(60, 70, 3), texts(50, 70, 4)
+    forth, back = similarity.best_both_ways(a, b, a, b, [False] * len(a), [False] * len(b))
+    assert sum(compared) <= len(a) * len(b)
+    for mine, other, found in ((a, b, forth), (b, a, back)):
+        for text, (at, score) in zip(mine, found):
+            assert (other[at], score) == brute(text, other, other)
