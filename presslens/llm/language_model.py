@@ -51,6 +51,8 @@ FREQUENT = 11
 GROUPS = CLASSES - FREQUENT - 1
 ROUNDS = 2
 BATCH = 16384
+# Bytes of text whose softmaxes are listed at a time.
+PART = 1 << 20
 # Digits of a word's number within its group, at most, and how many numbers are told by the first alone.
 DIGITS = 3
 SHORT = 12
@@ -247,7 +249,8 @@ class Model:
         """Gradient steps over batches, scaled per weight by past gradients."""
         for a in range(0, len(drawn), BATCH):
             f, c = features[a : a + BATCH], drawn[a : a + BATCH]
-            slope = -np.exp(self.log_shares(f, softmax[a : a + BATCH]))
+            slope = self.log_shares(f, softmax[a : a + BATCH])
+            np.negative(np.exp(slope, out=slope), out=slope)
             slope[np.arange(len(c)), c] += 1
             flat = f.astype(np.uint16).ravel()
             order = np.argsort(flat, kind="stable")
@@ -279,7 +282,7 @@ def _train_round(rows: DataFrame, model: Model) -> None:
         own = object.__new__(Model)
         own.__dict__.update(start.__dict__, weights=start.weights.copy())
         past, seen = np.ones((2 * FEATURES, CLASSES), np.float32), np.zeros(2 * FEATURES, np.int64)
-        for batch in tokens.parts(batches, 0):
+        for batch in tokens.parts(batches, 0, PART):
             stream, group, borders = _stream(batch.column(0))
             _, features, softmax, drawn, *_ = own.choices(stream, group, borders)
             own.train(features, softmax, drawn, past, seen)
@@ -337,7 +340,7 @@ def score(docs: DataFrame, model: Model, tail: DataFrame) -> DataFrame:
         own, number = sent.value, TaskContext.get().partitionId() << 33
         scale = np.log10(own.total) - np.log10(own.size)
         rest = np.log10(own.total) - np.log10(own.rest)
-        for batch in tokens.parts(batches, 2):
+        for batch in tokens.parts(batches, 2, PART):
             stream, group, borders = _stream(batch.column(2))
             n, sizes = batch.num_rows, np.diff(borders)
             row = np.repeat(np.arange(n), sizes)
