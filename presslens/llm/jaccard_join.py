@@ -18,8 +18,9 @@ In each of `STARS` rounds a class of the largest component of every group stands
 paired with two of those that it meets, so a round has at most two pairs a class. A group whose classes are all in one
 component needs no more pairs, for those could not change a component. Afterwards all classes outside a
 group's largest component are paired with the classes of other components. So the pairs within a large component are never
-expanded, and no link between components is lost. The rounds are the same at every size; the tables of a round go
-when the next one has been written.
+expanded, and no link between components is lost. A pair that shares many groups is made at the last of them: each row knows
+the `BEHIND` groups that follow for its class, and where two rows have one of these in common their pair is left to it. The
+rounds are the same at every size; the tables of a round go when the next one has been written.
 
 Defined results: A-Z are lower-cased; a set of fewer than five words is the whole sequence; a null or
 blank text has no shingles and links with nothing; a null id belongs to no component and links nothing; rows that
@@ -48,6 +49,8 @@ SIGNS = 16
 BROADCAST_BYTES = 32 << 20
 # Rounds in which classes meet two others each, before all that is left is paired.
 STARS = 2
+# Groups behind one by which a pair is known to be met again.
+BEHIND = 16
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -320,7 +323,8 @@ def _outside_pairs(named: DataFrame, live: DataFrame, classes: DataFrame, scratc
     """Rows outside the largest component against all of other components; two that are both outside, once.
 
     Only rows that may have a partner at all, by the sizes and places of their group, get the bitmap of their class, with which the
-    pairs are filtered before they are made.
+    pairs are filtered before they are made. The last group that two classes share is the same for both, as all classes have their groups
+    in one order, and a pair that links passes there; so one that is met again within the next groups is not made yet.
     """
     of_group = named.groupBy("shingle").agg(
         F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("place").alias("top")
@@ -335,12 +339,13 @@ def _outside_pairs(named: DataFrame, live: DataFrame, classes: DataFrame, scratc
     may = scratch.written(may.join(live.select("shingle", "most"), "shingle"), "may")
     keys = scratch.written(may.select("key").distinct(), "keys")
     signs = classes.join(small(keys, BROADCAST_BYTES), "key", "left_semi").groupBy("key").agg(F.first("signs").alias("signs"))
-    signed = may.join(signs, "key")
-    renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"), ("signs", "marks"))
+    following = Window.partitionBy("key").orderBy("place").rowsBetween(1, BEHIND)
+    signed = may.withColumn("next", F.collect_list("shingle").over(following)).join(signs, "key")
+    renamed = (("key", "b"), ("n", "m"), ("at", "bt"), ("component", "other"), ("place", "spot"), ("signs", "marks"), ("next", "then"))
     right = signed.select("shingle", *(F.col(c).alias(d) for c, d in renamed))
     left = signed.where("component <> most").withColumnRenamed("key", "a")
     pairs = _passing(left.join(right, "shingle").where("component <> other and (other = most or a < b)"))
-    return pairs.where(_bounded(F.col("n"), F.col("m"), "signs", "marks"))
+    return pairs.where(_bounded(F.col("n"), F.col("m"), "signs", "marks") & ~F.arrays_overlap("next", "then"))
 
 
 def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:

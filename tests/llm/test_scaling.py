@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from presslens.llm import substring_dedup
+from presslens.llm import jaccard_join, substring_dedup
 
 
 def test_phrases_that_meet_by_chance_leave_few_windows():
@@ -37,3 +37,52 @@ def test_a_repeat_of_fifty_words_keeps_its_window_anywhere():
             own = row == i
             kept = substring_dedup.possible(low[own] - rows[i], high[own] - rows[i], shared[own], len(texts[i]))
             assert at in kept
+
+
+def test_classes_that_nearly_link_are_paired_once(spark, monkeypatch):
+    # Texts that share most of their shingles in many groups, too few to link: each pair is made at its last group only.
+    random = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(16):
+        words = list(base)
+        for place in random.choice(58, 4, replace=False):
+            words[5 * place + 4] = f"own{i}x{place}"
+        texts.append(" ".join(words))
+    texts += [t + " end" for t in texts[:2]]
+    made, plain = [], jaccard_join._outside_pairs
+
+    def counted(*parts):
+        pairs = plain(*parts)
+        made.append((pairs.count(), jaccard_join._distinct(pairs).count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_outside_pairs", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_report(docs).collect()}
+    assert found == {i: i if i < 16 else i - 16 for i in range(18)}
+    assert made[0][0] == made[0][1] > 50
+
+
+def test_pairs_met_in_many_groups_are_not_lost(spark, monkeypatch):
+    # With no round of stars all pairs come from the last step; components against brute force.
+    monkeypatch.setattr(jaccard_join, "STARS", 0)
+    random = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(40):
+        words = list(base)
+        for place in random.choice(150, random.integers(1, 5), replace=False):
+            words[place] = f"own{random.integers(6)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    least = list(range(40))
+    for _ in range(40):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    least[i] = least[j] = min(least[i], least[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_report(docs).collect()}
+    assert found == dict(enumerate(least))
+    assert len(set(least)) > 1
