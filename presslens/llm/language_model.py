@@ -57,8 +57,12 @@ PART = 1 << 20
 DIGITS = 3
 SHORT = 12
 RATE = 0.15
-# How often a row of weights is met in a batch before its further slopes are added up by themselves.
+# Softmaxes, or rows of weights, that are worked on at a time, so that they stay in a core's cache.
+LINES = 2048
+# How many slopes of a row of weights are added up one after the other; more are added up in pieces.
 LAYERS = 8
+# Bytes of documents for each task of a round, so that the changes sent stay a small part of the input.
+TASK_BYTES = 64 << 20
 END = np.uint64(1)
 START = np.uint64(2)
 # Distinct words that a task holds before it sends their counts on.
@@ -238,40 +242,111 @@ class Model:
 
     def log_shares(self, features: np.ndarray, softmax: np.ndarray | int = 0) -> np.ndarray:
         """Natural logarithms of the probabilities of a softmax's members (tokens x classes); the first is that of classes."""
-        total = self.weights.take(features[:, 0], 0) + self.bias[softmax]
-        for k in range(1, features.shape[1]):
-            total += self.weights.take(features[:, k], 0)
+        total = self.sums(features, softmax)
         total -= total.max(1, keepdims=True)
         total -= np.log(np.exp(total).sum(1, keepdims=True))
         return total
 
+    def sums(self, features: np.ndarray, softmax: np.ndarray | int) -> np.ndarray:
+        """The biases and weights of a softmax's members, added up."""
+        total = self.weights.take(features[:, 0], 0)
+        total += self.bias.take(softmax, 0)
+        for k in range(1, features.shape[1]):
+            total += self.weights.take(features[:, k], 0)
+        return total
+
+    def odds(self, features: np.ndarray, softmax: np.ndarray, drawn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the members' probabilities are in proportion to, its sum, and the logarithms of the shares of those drawn.
+
+        Members are not measured against the largest one, but where the sum would leave the range of a float.
+        """
+        odds = self.sums(features, softmax)
+        own = odds[np.arange(len(drawn)), drawn].astype(float)
+        with np.errstate(over="ignore"):
+            np.exp(odds, out=odds)
+            whole = odds @ np.ones(CLASSES, np.float32)
+        far = np.flatnonzero(~((whole > 1e-20) & (whole < 1e20)))
+        if len(far):
+            total = self.sums(features[far], softmax[far])
+            most = total.max(1)
+            odds[far] = np.exp(total - most[:, None])
+            whole[far] = odds[far].sum(1)
+            own[far] -= most
+        return odds, whole, own - np.log(whole.astype(float))
+
+    def drawn_shares(self, features: np.ndarray, softmax: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the probabilities of the members drawn."""
+        shares = np.empty(len(drawn))
+        for a in range(0, len(drawn), LINES):
+            part = slice(a, a + LINES)
+            shares[part] = self.odds(features[part], softmax[part], drawn[part])[2]
+        return shares
+
     def train(self, features: np.ndarray, softmax: np.ndarray, drawn: np.ndarray, past: np.ndarray, seen: np.ndarray) -> None:
         """Gradient steps over batches, scaled per weight by past gradients."""
         for a in range(0, len(drawn), BATCH):
             f, c = features[a : a + BATCH], drawn[a : a + BATCH]
-            slope = self.log_shares(f, softmax[a : a + BATCH])
-            np.negative(np.exp(slope, out=slope), out=slope)
+            slope = np.empty((len(c), CLASSES), np.float32)
+            for b in range(0, len(c), LINES):
+                odds, whole, _ = self.odds(f[b : b + LINES], softmax[a + b : a + min(b + LINES, len(c))], c[b : b + LINES])
+                np.divide(odds, -whole[:, None], out=slope[b : b + LINES])
             slope[np.arange(len(c)), c] += 1
             flat = f.astype(np.uint16).ravel()
             order = np.argsort(flat, kind="stable")
             rows = flat[order]
             first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
             met = np.diff(np.append(first, len(rows)))
-            # Rows met most come first, so that those met again are always the first ones.
-            most = np.argsort(-met, kind="stable")
-            used, first, met, token = rows[first[most]], first[most], met[most], order // f.shape[1]
-            step = slope.take(token[first], 0)
-            for again in range(1, LAYERS):
-                more = int(np.searchsorted(-met, -again))
-                step[:more] += slope.take(token[first[:more] + again], 0)
-            for k in range(int(np.searchsorted(-met, -LAYERS + 1))):
-                step[k] += slope.take(token[first[k] + LAYERS : first[k] + met[k]], 0).sum(0)
-            gathered = past.take(used, 0) + step * step
-            past[used] = gathered
-            self.weights[used] += RATE * step / np.sqrt(gathered)
+            most = _falling(met)
+            used, met, token = rows[first[most]].astype(np.int64), met[most], order // f.shape[1]
+            step = _sums(slope, token, first[most], met)
+            for b in range(0, len(used), LINES):
+                at, moved = used[b : b + LINES], step[b : b + LINES]
+                gathered = past.take(at, 0)
+                gathered += moved * moved
+                past[at] = gathered
+                moved /= np.sqrt(gathered, out=gathered)
+                moved *= RATE
+                moved += self.weights.take(at, 0)
+                self.weights[at] = moved
             seen[used] += met
 
 
+def _falling(met: np.ndarray) -> np.ndarray:
+    """The order of falling numbers."""
+    return np.argsort(-met.astype(np.int32), kind="stable")
+
+
+def _sums(values: np.ndarray, at: np.ndarray, first: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """The sum of `values` at each run of `at`, which begins at `first` and has `met` entries; longer runs come first."""
+    total = values.take(at[first], 0)
+    for again in range(1, LAYERS):
+        more = int(np.searchsorted(-met, -again))
+        total[:more] += values.take(at[first[:more] + again], 0)
+    long = int(np.searchsorted(-met, -LAYERS))
+    if long:
+        left = met[:long] - LAYERS
+        pieces = -(-left // LAYERS)
+        starts = np.cumsum(pieces) - pieces
+        within = (np.arange(pieces.sum()) - np.repeat(starts, pieces)) * LAYERS
+        size = np.minimum(np.repeat(left, pieces) - within, LAYERS)
+        order = _falling(size)
+        parts = _sums(values, at, (np.repeat(first[:long] + LAYERS, pieces) + within)[order], size[order])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        total[:long] += _sums(parts, place, starts, pieces)
+    return total
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """`rows` in as many tasks as their bytes ask for, or as there are cores: each task sends a change of the whole model.
+
+    Where the bytes are not known, the splits stay.
+    """
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    asked = max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    return rows.coalesce(asked) if asked < 1 << 20 else rows
+
+
 def _train_round(rows: DataFrame, model: Model) -> None:
     """One round over `rows` (text): the tasks' changes, added up by row of weights, move the model."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
@@ -291,7 +366,7 @@ def _train_round(rows: DataFrame, model: Model) -> None:
         columns = [pa.array(used.astype(np.int32)), pa.array(seen[used])]
         yield pa.RecordBatch.from_arrays([*columns, *(pa.array(moved[:, k]) for k in range(CLASSES))], ["row", "seen", *names])
 
-    made = rows.select("text").mapInArrow(change, "row int, seen long, " + ", ".join(f"{n} float" for n in names))
+    made = _dealt(rows.select("text")).mapInArrow(change, "row int, seen long, " + ", ".join(f"{n} float" for n in names))
     # At most twice FEATURES rows reach the driver.
     added = made.groupBy("row").agg(F.sum("seen").alias("seen"), *[F.sum(n).cast("float").alias(n) for n in names])
     summed = added.toArrow().to_pandas()
@@ -345,10 +420,7 @@ def score(docs: DataFrame, model: Model, tail: DataFrame) -> DataFrame:
             n, sizes = batch.num_rows, np.diff(borders)
             row = np.repeat(np.arange(n), sizes)
             token, features, softmax, drawn, classes, numbers = own.choices(stream, group, borders)
-            shares = np.empty(len(token))
-            for a in range(0, len(token), BATCH):
-                c = drawn[a : a + BATCH]
-                shares[a : a + BATCH] = own.log_shares(features[a : a + BATCH], softmax[a : a + BATCH])[np.arange(len(c)), c]
+            shares = own.drawn_shares(features, softmax, drawn)
             gain = np.bincount(token, shares, len(stream)) / np.log(10)
             words, place = np.unique(stream, return_inverse=True)
             at, known = own.known(words)

@@ -64,3 +64,30 @@ def test_gradient_steps_add_up_like_one_by_one(spark):
     model.train(features, softmax, drawn, past, seen)
     assert model.weights == pytest.approx(start + L.RATE * step / np.sqrt(1 + step * step), abs=1e-4)
     assert seen.sum() == 800
+
+
+def test_sums_too_large_for_a_float_have_proper_shares(spark):
+    model = trained(spark, ["a b c d e f g h i j k l m n o p"] * 3)
+    random = np.random.default_rng(6)
+    model.weights = random.normal(0, 40, model.weights.shape).astype(np.float32)
+    features, softmax = random.integers(0, len(model.weights), (300, 4)).astype(np.int32), np.zeros(300, np.int64)
+    drawn = random.integers(0, L.CLASSES, 300)
+    shares = model.log_shares(features, softmax)[np.arange(300), drawn]
+    assert model.drawn_shares(features, softmax, drawn) == pytest.approx(shares, rel=1e-4, abs=1e-3)
+
+
+def test_runs_of_any_length_are_summed():
+    random = np.random.default_rng(7)
+    met = -np.sort(-np.append(random.integers(1, 40, 50), [1, 8, 9, 72, 73, 700, 5000]))
+    values, at = random.normal(size=(300, L.CLASSES)).astype(np.float32), random.integers(0, 300, met.sum())
+    first = np.cumsum(met) - met
+    expected = np.array([values[at[a : a + n]].sum(0) for a, n in zip(first, met)])
+    assert L._sums(values, at, first, met) == pytest.approx(expected, abs=1e-2)
+
+
+def test_many_small_splits_send_few_changes_of_the_model(spark, tmp_path):
+    # Each task sends a row for every row of weights that it has met, so tasks follow the bytes, not the splits.
+    spark.createDataFrame([(f"a{i} b c",) for i in range(200)], "text string").repartition(100).write.parquet(f"{tmp_path}/docs")
+    rows = spark.read.parquet(f"{tmp_path}/docs").repartition(100)
+    assert L._dealt(rows).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert L._dealt(rows).count() == 200
